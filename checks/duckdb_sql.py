@@ -1,0 +1,297 @@
+"""Independent SQL for each checkable query, for DuckDB over the supplied tables."""
+
+from __future__ import annotations
+
+AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
+
+# The star schema as DuckDB sees it.
+TABLES = {
+    "users": """
+        SELECT CAST(c_custkey AS INT) AS user_id, c_name AS username,
+               CAST(CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE 14 + c_custkey * 7 % 60 END AS INT) AS age,
+               ['Male', 'Female', 'Non-binary', 'Prefer not to say'][CAST(c_custkey % 4 AS INT) + 1] AS gender,
+               c_mktsegment AS subscription_type,
+               CAST(DATE '2021-01-01' + CAST(c_custkey % 1000 AS INT) AS DATE) AS registration_date,
+               n_name AS country
+        FROM customer, nation WHERE c_nationkey = n_nationkey""",
+    "artists": """
+        SELECT CAST(s_suppkey AS INT) AS artist_id, s_name AS name, n_name AS country,
+               ['Pop', 'Rock', 'Hip Hop', 'R&B', 'Country', 'Electronic', 'Jazz', 'Classical']
+                   [CAST(s_suppkey % 8 AS INT) + 1] AS genre,
+               s_suppkey % 2 = 0 AS is_band
+        FROM supplier, nation WHERE s_nationkey = n_nationkey""",
+    "albums": """
+        SELECT CAST(p_partkey AS INT) AS album_id, p_name AS title,
+               CAST(p_partkey % (SELECT count(*) FROM supplier) AS INT) AS artist_id,
+               CAST(DATE '2014-01-01' + CAST(p_partkey * 13 % 3650 AS INT) AS DATE) AS release_date,
+               CAST(5 + p_partkey % 11 AS INT) AS total_tracks,
+               ['LP', 'EP', 'Single', 'Compilation'][CAST(p_partkey % 4 AS INT) + 1] AS album_type
+        FROM part WHERE p_partkey % 5 = 0""",
+    "songs": """
+        SELECT CAST(p_partkey AS INT) AS song_id, p_name AS title,
+               CAST(120 + p_size * 6 AS INT) AS duration_seconds,
+               CAST(DATE '2014-01-01' + CAST(p_partkey * 13 % 3650 AS INT) AS DATE) AS release_date,
+               p_type AS genre, p_brand AS language, p_partkey % 3 = 0 AS explicit
+        FROM part""",
+    "devices": """
+        SELECT CAST(s_suppkey AS INT) AS device_id,
+               ['Mobile', 'Desktop', 'Tablet', 'Smart Speaker', 'Smart TV', 'Car System']
+                   [CAST(s_suppkey % 6 AS INT) + 1] AS device_type,
+               ['iOS', 'Android', 'Windows', 'macOS', 'Linux'][CAST(s_suppkey % 5 AS INT) + 1] AS os,
+               ['Safari', 'Chrome', 'Edge', 'Firefox', 'N/A'][CAST(s_suppkey % 5 AS INT) + 1] AS browser,
+               (1 + s_suppkey % 5) || '.' || (s_suppkey % 10) || '.0' AS app_version
+        FROM supplier WHERE s_suppkey < 10""",
+    "locations": """
+        SELECT n_nationkey AS location_id, n_name AS country, r_name AS region,
+               'City_' || n_nationkey AS city, 'Zone_' || n_regionkey AS timezone
+        FROM nation, region WHERE n_regionkey = r_regionkey""",
+    "stream_events": """
+        SELECT 'ev-' || event_id AS event_id,
+               CAST(CASE WHEN event_id % 101 = 0 THEN NULL ELSE user_id END AS INT) AS user_id,
+               CAST(event_id * 37 % ((SELECT count(*) FROM part) + 4) AS INT) AS song_id,
+               CAST(event_id * 17 % ((SELECT count(*) FROM supplier) + 1) AS INT) AS artist_id,
+               CAST(5 * (event_id * 19 % ((SELECT count(*) FROM albums) + 2)) AS INT) AS album_id,
+               CAST(event_id % 11 AS INT) AS device_id,
+               CAST(event_id * 3 % 26 AS INT) AS location_id,
+               ts AS "timestamp",
+               CAST(floor(value) AS INT) AS stream_duration_seconds,
+               event_type IN ('view', 'purchase', 'click') AS is_complete_play,
+               event_type = 'error' AS is_skipped,
+               event_type = 'purchase' OR event_id % 7 = 0 AS is_liked,
+               event_id % 10 = 3 AS is_shared,
+               event_type = 'signup' AS is_added_to_playlist
+        FROM events""",
+    # Windowed metrics.
+    "user_engagement_metrics": """
+        SELECT time_bucket(INTERVAL 1 MINUTE, "timestamp") AS time_window, user_id,
+               count(*) AS stream_count,
+               CAST(sum(stream_duration_seconds) AS BIGINT) AS total_listen_time,
+               avg(stream_duration_seconds) AS avg_listen_time,
+               avg(CAST(is_skipped AS INT)) AS skip_rate, avg(CAST(is_liked AS INT)) AS like_rate,
+               avg(CAST(is_shared AS INT)) AS share_rate,
+               avg(CAST(is_added_to_playlist AS INT)) AS playlist_add_rate
+        FROM stream_events GROUP BY ALL""",
+    "content_performance_metrics": """
+        SELECT time_bucket(INTERVAL 1 MINUTE, "timestamp") AS time_window, song_id, artist_id,
+               count(*) AS stream_count, avg(CAST(is_complete_play AS INT)) AS completion_rate,
+               avg(CAST(is_skipped AS INT)) AS skip_rate, avg(CAST(is_liked AS INT)) AS like_rate
+        FROM stream_events GROUP BY ALL""",
+    "device_metrics": """
+        SELECT time_bucket(INTERVAL 1 MINUTE, "timestamp") AS time_window, device_id,
+               count(*) AS stream_count, avg(stream_duration_seconds) AS avg_listen_time,
+               avg(CAST(is_complete_play AS INT)) AS completion_rate
+        FROM stream_events GROUP BY ALL""",
+    "location_metrics": """
+        SELECT time_bucket(INTERVAL 1 MINUTE, "timestamp") AS time_window, location_id,
+               count(*) AS stream_count, count(DISTINCT user_id) AS unique_users,
+               count(DISTINCT song_id) AS unique_songs
+        FROM stream_events GROUP BY ALL""",
+    "hourly_metrics": """
+        SELECT date_trunc('hour', "timestamp") AS time_window, count(*) AS stream_count,
+               count(DISTINCT user_id) AS unique_users, count(DISTINCT song_id) AS unique_songs,
+               count(DISTINCT artist_id) AS unique_artists,
+               CAST(sum(stream_duration_seconds) AS BIGINT) AS total_listen_time,
+               avg(stream_duration_seconds) AS avg_listen_time,
+               avg(CAST(is_skipped AS INT)) AS skip_rate, avg(CAST(is_liked AS INT)) AS like_rate
+        FROM stream_events GROUP BY ALL""",
+}
+
+
+def _query(body: str, **more: str) -> str:
+    named = {**TABLES, **more}
+    ctes = ",\n".join(f"{name} AS ({text})" for name, text in named.items())
+    return f"WITH {ctes}\n{body}"
+
+
+def _since(period: str, column: str = "time_window") -> str:
+    return f"{column} >= {AS_OF} - INTERVAL {period}"
+
+
+def _pct(part: str, whole: str = "count(*)") -> str:
+    return f"CAST(round(100.0 * {part} / {whole}, 2) AS DOUBLE)"
+
+
+METRIC_NAMES = (
+    "user_engagement_metrics",
+    "content_performance_metrics",
+    "device_metrics",
+    "location_metrics",
+    "hourly_metrics",
+)
+
+BUSINESS = {
+    "table_counts": "\nUNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS record_count FROM {name}" for name in TABLES
+    ),
+    "orphan_counts": "\nUNION ALL ".join(
+        f"SELECT 'Orphaned {key}' AS issue, count(*) AS count FROM stream_events AS e"
+        f" WHERE e.{key} IS NOT NULL AND NOT EXISTS (FROM {dim} AS d WHERE d.{key} = e.{key})"
+        for key, dim in (
+            ("user_id", "users"), ("song_id", "songs"), ("artist_id", "artists"),
+            ("album_id", "albums"), ("device_id", "devices"), ("location_id", "locations"),
+        )
+    ),
+    "top_songs": """
+        SELECT title, name AS artist_name, count(*) AS stream_count
+        FROM stream_events JOIN songs USING (song_id) JOIN artists USING (artist_id)
+        GROUP BY ALL ORDER BY stream_count DESC, title, artist_name LIMIT 10""",
+    "top_users": """
+        SELECT username, subscription_type, count(*) AS stream_count,
+               CAST(sum(stream_duration_seconds) AS BIGINT) AS total_listen_time
+        FROM stream_events JOIN users USING (user_id)
+        GROUP BY ALL ORDER BY stream_count DESC, username, subscription_type LIMIT 10""",
+    "activity_by_hour": """
+        SELECT CAST(hour("timestamp") AS INT) AS hour_of_day, count(*) AS stream_count,
+               count(DISTINCT user_id) AS unique_users
+        FROM stream_events GROUP BY ALL ORDER BY hour_of_day""",
+    "activity_by_device": """
+        SELECT device_type, os, count(*) AS stream_count, avg(stream_duration_seconds) AS avg_listen_time
+        FROM stream_events JOIN devices USING (device_id) GROUP BY ALL ORDER BY stream_count DESC""",
+    "skip_rate_by_genre": f"""
+        SELECT genre, count(*) AS total_streams, count(*) FILTER (is_skipped) AS skipped_streams,
+               {_pct('count(*) FILTER (is_skipped)')} AS skip_rate
+        FROM stream_events JOIN songs USING (song_id) GROUP BY genre""",
+    "like_rate_by_genre": f"""
+        SELECT genre, count(*) AS total_streams, count(*) FILTER (is_liked) AS liked_streams,
+               {_pct('count(*) FILTER (is_liked)')} AS like_rate
+        FROM stream_events JOIN songs USING (song_id) GROUP BY genre""",
+    "activity_by_country": """
+        SELECT country, count(*) AS stream_count, count(DISTINCT user_id) AS unique_users
+        FROM stream_events JOIN locations USING (location_id)
+        GROUP BY country ORDER BY stream_count DESC, country LIMIT 20""",
+    "activity_by_subscription": f"""
+        SELECT subscription_type, count(*) AS stream_count, count(DISTINCT user_id) AS unique_users,
+               avg(stream_duration_seconds) AS avg_listen_time,
+               {_pct('count(*) FILTER (is_skipped)')} AS skip_rate,
+               {_pct('count(*) FILTER (is_complete_play)')} AS completion_rate
+        FROM stream_events JOIN users USING (user_id) GROUP BY subscription_type""",
+    "engagement_by_age_group": f"""
+        SELECT CASE WHEN age < 18 THEN 'Under 18' WHEN age <= 24 THEN '18-24' WHEN age <= 34 THEN '25-34'
+                    WHEN age <= 44 THEN '35-44' WHEN age <= 54 THEN '45-54' ELSE '55+' END AS age_group,
+               count(DISTINCT user_id) AS unique_users, count(*) AS stream_count,
+               CAST(round(1.0 * count(*) / count(DISTINCT user_id), 2) AS DOUBLE) AS streams_per_user,
+               CAST(round(avg(stream_duration_seconds), 2) AS DOUBLE) AS avg_listen_time,
+               {_pct('count(*) FILTER (is_skipped)')} AS skip_rate,
+               {_pct('count(*) FILTER (is_liked)')} AS like_rate,
+               {_pct('count(*) FILTER (is_shared)')} AS share_rate
+        FROM stream_events JOIN users USING (user_id) GROUP BY age_group""",
+    "dimension_completeness": """
+        SELECT (SELECT count(DISTINCT user_id) FROM stream_events) AS unique_users_in_events,
+               (SELECT count(*) FROM users) AS users_in_dimension,
+               (SELECT count(DISTINCT song_id) FROM stream_events) AS unique_songs_in_events,
+               (SELECT count(*) FROM songs) AS songs_in_dimension,
+               (SELECT count(DISTINCT artist_id) FROM stream_events) AS unique_artists_in_events,
+               (SELECT count(*) FROM artists) AS artists_in_dimension,
+               (SELECT count(DISTINCT device_id) FROM stream_events) AS unique_devices_in_events,
+               (SELECT count(*) FROM devices) AS devices_in_dimension,
+               (SELECT count(DISTINCT location_id) FROM stream_events) AS unique_locations_in_events,
+               (SELECT count(*) FROM locations) AS locations_in_dimension""",
+    "metrics_reconciliation": """
+        SELECT user_id, metrics_stream_count, calculated_stream_count, count_difference
+        FROM (SELECT m.user_id, m.time_window, m.stream_count AS metrics_stream_count,
+                     count(*) AS calculated_stream_count, abs(m.stream_count - count(*)) AS count_difference
+              FROM user_engagement_metrics AS m JOIN stream_events AS e
+                ON e.user_id = m.user_id AND e."timestamp" >= m.time_window
+               AND e."timestamp" <= m.time_window + INTERVAL 5 MINUTE
+              GROUP BY m.user_id, m.time_window, m.stream_count) AS compared
+        WHERE count_difference > 0 ORDER BY user_id, time_window LIMIT 10""",
+}
+
+TRENDING = _query(
+    """
+    SELECT DISTINCT title, name AS artist_name, last_24h_streams, previous_24h_streams,
+           CAST(CASE WHEN previous_24h_streams = 0 THEN 100
+                     ELSE round(100.0 * (last_24h_streams - previous_24h_streams) / previous_24h_streams, 2)
+                END AS DOUBLE) AS growth_percent
+    FROM both_days JOIN songs USING (song_id)
+         JOIN (SELECT DISTINCT song_id, artist_id FROM stream_events) AS pairs USING (song_id)
+         JOIN artists USING (artist_id)
+    ORDER BY growth_percent DESC, title, artist_name, last_24h_streams, previous_24h_streams LIMIT 20""",
+    today=f"""SELECT song_id, count(*) AS n FROM stream_events
+              WHERE {_since('24 HOUR', '"timestamp"')} GROUP BY song_id""",
+    day_before=f"""SELECT song_id, count(*) AS n FROM stream_events
+              WHERE {_since('48 HOUR', '"timestamp"')} AND NOT {_since('24 HOUR', '"timestamp"')} GROUP BY song_id""",
+    both_days="""SELECT coalesce(t.song_id, d.song_id) AS song_id, coalesce(t.n, 0) AS last_24h_streams,
+                        coalesce(d.n, 0) AS previous_24h_streams
+                 FROM today AS t FULL JOIN day_before AS d ON t.song_id = d.song_id""",
+)
+
+HOUR, DAY = _since("1 HOUR"), _since("24 HOUR")
+
+
+def _mean_by(metric: str, dim: str, key: str, attribute: str, column: str, name: str) -> str:
+    return f"""SELECT {attribute}, avg({column}) AS {name} FROM {metric} JOIN {dim} USING ({key})
+               WHERE {HOUR} GROUP BY {attribute}"""
+
+
+def _streams_by(metric: str, dim: str, key: str, attribute: str) -> str:
+    return f"""SELECT {attribute}, CAST(sum(stream_count) AS BIGINT) AS total_streams
+               FROM {metric} JOIN {dim} USING ({key}) WHERE {HOUR} GROUP BY {attribute}"""
+
+
+DASHBOARD = {
+    "dash_active_users": f"""
+        SELECT time_window, count(DISTINCT user_id) AS active_users
+        FROM user_engagement_metrics WHERE {HOUR} GROUP BY time_window""",
+    "dash_listen_time_by_subscription": _mean_by(
+        "user_engagement_metrics", "users", "user_id", "subscription_type", "avg_listen_time", "average_listen_time"
+    ),
+    "dash_skip_rate_over_time": f"""
+        SELECT time_window, avg(skip_rate) AS average_skip_rate
+        FROM user_engagement_metrics WHERE {HOUR} GROUP BY time_window""",
+    "dash_user_hour_heatmap": f"""
+        SELECT CAST(hour(time_window) AS INT) AS hour_of_day, user_id,
+               CAST(sum(stream_count) AS BIGINT) AS total_streams
+        FROM user_engagement_metrics WHERE {DAY} GROUP BY ALL""",
+    "dash_top_songs": f"""
+        SELECT title AS song_title, CAST(sum(stream_count) AS BIGINT) AS total_streams
+        FROM content_performance_metrics JOIN songs USING (song_id) WHERE {HOUR}
+        GROUP BY title ORDER BY total_streams DESC, song_title LIMIT 10""",
+    "dash_skip_rate_by_genre": _mean_by(
+        "content_performance_metrics", "songs", "song_id", "genre", "skip_rate", "average_skip_rate"
+    ),
+    "dash_like_rate_over_time": f"""
+        SELECT time_window, avg(like_rate) AS average_like_rate
+        FROM content_performance_metrics WHERE {HOUR} GROUP BY time_window""",
+    "dash_artist_comparison": f"""
+        SELECT name AS artist_name, CAST(sum(stream_count) AS BIGINT) AS total_streams,
+               avg(completion_rate) AS avg_completion_rate, avg(like_rate) AS avg_like_rate
+        FROM content_performance_metrics JOIN artists USING (artist_id) WHERE {HOUR}
+        GROUP BY name ORDER BY total_streams DESC, artist_name LIMIT 10""",
+    "dash_streams_by_device_type": _streams_by("device_metrics", "devices", "device_id", "device_type"),
+    "dash_listen_time_by_device_type": _mean_by(
+        "device_metrics", "devices", "device_id", "device_type", "avg_listen_time", "average_listen_time"
+    ),
+    "dash_completion_by_os": _mean_by(
+        "device_metrics", "devices", "device_id", "os", "completion_rate", "average_completion_rate"
+    ),
+    "dash_device_usage_over_time": f"""
+        SELECT time_window, device_type, CAST(sum(stream_count) AS BIGINT) AS total_streams
+        FROM device_metrics JOIN devices USING (device_id) WHERE {HOUR} GROUP BY ALL""",
+    "dash_streams_by_country": _streams_by("location_metrics", "locations", "location_id", "country"),
+    "dash_unique_users_by_region": f"""
+        SELECT region, CAST(sum(unique_users) AS BIGINT) AS total_unique_users
+        FROM location_metrics JOIN locations USING (location_id) WHERE {HOUR}
+        GROUP BY region ORDER BY total_unique_users DESC, region LIMIT 10""",
+    "dash_top_city_streams": f"""
+        SELECT time_window, city, CAST(sum(stream_count) AS BIGINT) AS total_streams
+        FROM location_metrics JOIN locations USING (location_id)
+        WHERE {HOUR} AND city IN (
+            SELECT city FROM location_metrics JOIN locations USING (location_id) WHERE {HOUR}
+            GROUP BY city ORDER BY sum(stream_count) DESC, city LIMIT 5)
+        GROUP BY ALL""",
+    "dash_hourly_streams": f"SELECT time_window, stream_count FROM hourly_metrics WHERE {DAY}",
+    "dash_hourly_uniques": f"SELECT time_window, unique_users, unique_songs FROM hourly_metrics WHERE {DAY}",
+    "dash_hourly_rates": f"SELECT time_window, skip_rate, like_rate FROM hourly_metrics WHERE {DAY}",
+    "dash_listen_time_by_hour": f"""
+        SELECT CAST(hour(time_window) AS INT) AS hour_of_day, avg(avg_listen_time) AS average_listen_time
+        FROM hourly_metrics WHERE {DAY} GROUP BY ALL""",
+}
+
+
+def oracle_sql() -> dict[str, str]:
+    found = {name: _query(f"SELECT * FROM {name}") for name in METRIC_NAMES}
+    found |= {name: _query(body) for name, body in BUSINESS.items()}
+    found["trending_songs"] = TRENDING
+    found |= {name: _query(body) for name, body in DASHBOARD.items()}
+    return found
