@@ -289,9 +289,90 @@ DASHBOARD = {
 }
 
 
+DASHBOARD["recent_engagement"] = f"""
+    SELECT time_window, CAST(sum(stream_count) AS BIGINT) AS stream_count,
+           avg(skip_rate) AS skip_rate, avg(like_rate) AS like_rate
+    FROM user_engagement_metrics
+    WHERE time_window BETWEEN {AS_OF} - INTERVAL 5 MINUTE AND {AS_OF} GROUP BY time_window"""
+
+REFERENCES = (
+    ("user_id", "users"), ("song_id", "songs"), ("artist_id", "artists"),
+    ("album_id", "albums"), ("device_id", "devices"), ("location_id", "locations"),
+)
+
+
+def _is_broken(key: str, dim: str) -> str:
+    return f"({key} IS NOT NULL AND {key} NOT IN (SELECT {key} FROM {dim}))"
+
+
+ANY_BROKEN = " OR ".join(_is_broken(key, dim) for key, dim in REFERENCES)
+REASONS = (
+    "concat_ws('; ', "
+    + ", ".join(f"CASE WHEN {_is_broken(k, d)} THEN 'Foreign key violation: {k}=' || {k} END" for k, d in REFERENCES)
+    + ")"
+)
+INVALID = f"SELECT *, {REASONS} AS reasons FROM stream_events WHERE {ANY_BROKEN}"
+
+# A dead letter as text: fields in table order, NULL left out.
+_INTS = ("user_id", "song_id", "artist_id", "album_id", "device_id", "location_id")
+_BOOLS = ("is_complete_play", "is_skipped", "is_liked", "is_shared", "is_added_to_playlist")
+_PIECES = [
+    "'\"event_id\":\"' || event_id || '\"'",
+    *(f"'\"{c}\":' || {c}" for c in _INTS),
+    "'\"timestamp\":\"' || strftime(\"timestamp\", '%Y-%m-%dT%H:%M:%S.%f') || '\"'",
+    "'\"stream_duration_seconds\":' || stream_duration_seconds",
+    *(f"'\"{c}\":' || {c}" for c in _BOOLS),
+    """'"error_info":"' || replace('{"table":"stream_events","batch_id":0,"error_message":"' || reasons
+        || '","timestamp":"2024-01-31 00:00:00"}', '"', '\\"') || '"'""",
+]
+LETTERS = f"SELECT '{{' || concat_ws(',', {', '.join(_PIECES)}) || '}}' AS value FROM invalid_rows"
+
+CLOSED_BY = "(SELECT date_trunc('millisecond', max(\"timestamp\")) - INTERVAL 2 MINUTE FROM stream_events)"
+
+
+def _closed(metric: str, width: str, *references: tuple[str, str]) -> str:
+    """Windows that end by the final watermark and point at known dimension rows."""
+    known = "".join(f" AND NOT {_is_broken(key, dim)}" for key, dim in references)
+    return f"SELECT * FROM {metric} WHERE time_window + INTERVAL {width} <= {CLOSED_BY}{known}"
+
+
+PIPELINE = {
+    "parse_events": "SELECT * FROM stream_events",
+    "parse_dimensions": """
+        SELECT 'users' AS table_name, user_id AS id, username AS label, registration_date AS dated FROM users
+        UNION ALL SELECT 'albums', album_id, title, release_date FROM albums""",
+    "corrupt_records": "SELECT 'doc-' || doc_id AS message_key, text AS corrupt_record FROM documents",
+    "flatten_window": """
+        SELECT time_bucket(INTERVAL 1 MINUTE, "timestamp") AS time_window, count(*) AS stream_count
+        FROM stream_events GROUP BY ALL""",
+    "latest_per_key": """
+        SELECT user_id, device_id, location_id, "timestamp", is_skipped, "offset"
+        FROM (SELECT *, CAST(substr(event_id, 4) AS BIGINT) AS "offset",
+                     row_number() OVER (PARTITION BY user_id ORDER BY CAST(substr(event_id, 4) AS BIGINT) DESC) AS nth
+              FROM stream_events WHERE user_id IS NOT NULL) AS ranked
+        WHERE nth = 1""",
+    "new_dimension_rows": """
+        FROM users WHERE user_id NOT IN (SELECT user_id FROM stream_events WHERE user_id IS NOT NULL)""",
+    "fk_valid_rows": f"FROM stream_events WHERE NOT ({ANY_BROKEN})",
+    "fk_invalid_rows": INVALID,
+    "stream_user_engagement": _closed("user_engagement_metrics", "1 MINUTE", ("user_id", "users")),
+    "stream_content_performance": _closed(
+        "content_performance_metrics", "1 MINUTE", ("song_id", "songs"), ("artist_id", "artists")
+    ),
+    "stream_device": _closed("device_metrics", "1 MINUTE", ("device_id", "devices")),
+    "stream_raw_events": f"FROM stream_events WHERE NOT ({ANY_BROKEN})",
+    "replayed_dead_letters": f"""
+        FROM stream_events WHERE ({ANY_BROKEN})
+        AND NOT ({' OR '.join(_is_broken(k, d) for k, d in REFERENCES if d not in ('devices', 'locations'))})""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     found = {name: _query(f"SELECT * FROM {name}") for name in METRIC_NAMES}
     found |= {name: _query(body) for name, body in BUSINESS.items()}
     found["trending_songs"] = TRENDING
     found |= {name: _query(body) for name, body in DASHBOARD.items()}
+    found |= {name: _query(body) for name, body in PIPELINE.items()}
+    for name in ("dead_letter_rows", "stream_dead_letters"):
+        found[name] = _query(LETTERS, invalid_rows=INVALID)
     return found

@@ -70,7 +70,7 @@ USERS = Table(
         ("subscription_type", _TEXT), ("registration_date", _DATE), ("country", _TEXT),
     ),
     primary_key=("user_id",),
-    required=("username",),
+    required=("user_id", "username"),
 )
 ARTISTS = Table(
     "artists",
@@ -78,7 +78,7 @@ ARTISTS = Table(
         ("artist_id", _INT), ("name", _TEXT), ("country", _TEXT), ("genre", _TEXT), ("is_band", _BOOL),
     ),
     primary_key=("artist_id",),
-    required=("name",),
+    required=("artist_id", "name"),
 )
 ALBUMS = Table(
     "albums",
@@ -88,7 +88,7 @@ ALBUMS = Table(
     ),
     primary_key=("album_id",),
     references=(Reference("artist_id", "artists", "artist_id"),),
-    required=("title",),
+    required=("album_id", "title"),
 )
 SONGS = Table(
     "songs",
@@ -97,7 +97,7 @@ SONGS = Table(
         ("genre", _TEXT), ("language", _TEXT), ("explicit", _BOOL),
     ),
     primary_key=("song_id",),
-    required=("title",),
+    required=("song_id", "title"),
 )
 DEVICES = Table(
     "devices",
@@ -105,6 +105,7 @@ DEVICES = Table(
         ("device_id", _INT), ("device_type", _TEXT), ("os", _TEXT), ("browser", _TEXT), ("app_version", _TEXT),
     ),
     primary_key=("device_id",),
+    required=("device_id",),
 )
 LOCATIONS = Table(
     "locations",
@@ -112,6 +113,7 @@ LOCATIONS = Table(
         ("location_id", _INT), ("country", _TEXT), ("region", _TEXT), ("city", _TEXT), ("timezone", _TEXT),
     ),
     primary_key=("location_id",),
+    required=("location_id",),
 )
 
 _TO_USER = Reference("user_id", "users", "user_id")

@@ -6,10 +6,17 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playstream import model
+from playstream.functions import timeparts
+from playstream.operators import changelog, deadletter, integrity, parsing
 from playstream.plans import business, dashboard, metrics, quality
+from playstream.session import run_folder, streaming_session
+from playstream.sinks.store import FileStore, settled
 from playstream.sources.star import StarSchema
+from playstream.streaming import pipeline
+from playstream.streaming.delivery import Delivery
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,3 +139,147 @@ named("dash_listen_time_by_hour")(lambda s: dashboard.listen_time_by_hour(_hourl
 named("recent_engagement")(
     lambda s: dashboard.recent_engagement(_engagement(s), AS_OF)
 )
+
+
+# Pipeline operators.
+CHANGE_FIELDS = ("user_id", "device_id", "location_id", "timestamp", "is_skipped")
+
+
+def _event_messages(s: StarSchema) -> DataFrame:
+    return parsing.as_messages(s.stream_events, "event_id")
+
+
+def _settled(s: StarSchema, df: DataFrame) -> DataFrame:
+    return settled(df, run_folder(s.spark, "broken-keys"))
+
+
+def _split(s: StarSchema) -> tuple[DataFrame, DataFrame]:
+    events, dimensions = s.stream_events, s.dimensions()
+    broken = integrity.broken_keys(events, dimensions, model.STREAM_EVENTS.references)
+    return integrity.split_by_references(events, model.STREAM_EVENTS, dimensions, _settled(s, broken))
+
+
+named("parse_events")(
+    lambda s: parsing.parse_table(_event_messages(s), model.STREAM_EVENTS).drop(parsing.CORRUPT)
+)
+
+
+@named("parse_dimensions")
+def _(s):
+    """Users and albums, the dimensions with dates, over the wire and back."""
+    users = parsing.parse_dimension(parsing.as_messages(s.users, "user_id"), model.USERS)
+    albums = parsing.parse_dimension(parsing.as_messages(s.albums, "album_id"), model.ALBUMS)
+    return users.select(
+        F.lit("users").alias("table_name"),
+        F.col("user_id").alias("id"),
+        F.col("username").alias("label"),
+        F.col("registration_date").alias("dated"),
+    ).unionByName(
+        albums.select(
+            F.lit("albums").alias("table_name"),
+            F.col("album_id").alias("id"),
+            F.col("title").alias("label"),
+            F.col("release_date").alias("dated"),
+        )
+    )
+
+
+@named("corrupt_records")
+def _(s):
+    """Messages that are not JSON, among messages that are."""
+    documents = s.supplied("documents").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).cast("binary").alias("key"),
+        F.col("text").cast("binary").alias("value"),
+    )
+    parsed = parsing.parse_table(
+        _event_messages(s).unionByName(documents), model.STREAM_EVENTS, keep=("key",)
+    )
+    return parsing.corrupt(parsed).select(
+        F.col("key").cast("string").alias("message_key"), F.col(parsing.CORRUPT).alias("corrupt_record")
+    )
+
+
+@named("flatten_window")
+def _(s):
+    return timeparts.flatten_window(
+        s.stream_events.groupBy(F.window("timestamp", "1 minute").alias("bucket")).agg(
+            F.count(F.lit(1)).alias("stream_count")
+        )
+    )
+
+
+@named("latest_per_key")
+def _(s):
+    """The last device, place and skip flag of every user."""
+    changes = s.stream_events.where(F.col("user_id").isNotNull()).select(
+        *CHANGE_FIELDS, F.substring_index("event_id", "-", -1).cast("long").alias("offset")
+    )
+    return changelog.latest_per_key(changes, "user_id", "offset")
+
+
+@named("new_dimension_rows")
+def _(s):
+    """Users to insert when those who ever played something are stored already."""
+    stored = s.stream_events.select("user_id").distinct()
+    return changelog.new_rows(s.users, stored, "user_id")
+
+
+named("fk_valid_rows")(lambda s: _split(s)[0])
+named("fk_invalid_rows")(
+    lambda s: _split(s)[1].withColumn(integrity.REASONS, F.concat_ws("; ", integrity.REASONS))
+    .withColumnRenamed(integrity.REASONS, "reasons")
+)
+
+
+def _dead_letters(s: StarSchema) -> DataFrame:
+    return deadletter.to_dead_letters(_split(s)[1], "stream_events", 0, AS_OF)
+
+
+named("dead_letter_rows")(_dead_letters)
+
+
+@named("replayed_dead_letters")
+def _(s):
+    """Dead letters checked again after the missing devices and locations were added."""
+    again = deadletter.read_dead_letters(_dead_letters(s), model.STREAM_EVENTS).select(*model.STREAM_EVENTS.columns)
+    events, dimensions = s.stream_events, s.dimensions()
+    for table, key in (("devices", "device_id"), ("locations", "location_id")):
+        seen = events.select(key).distinct().where(F.col(key).isNotNull())
+        dimensions[table] = dimensions[table].select(key).unionByName(seen).distinct()
+    broken = _settled(s, integrity.broken_keys(again, dimensions, model.STREAM_EVENTS.references))
+    return integrity.split_by_references(again, model.STREAM_EVENTS, dimensions, broken)[0]
+
+
+# Streams: each runs over the supplied events until all are handled.
+STREAMS = {
+    "stream_user_engagement": "user_engagement_metrics",
+    "stream_content_performance": "content_performance_metrics",
+    "stream_device": "device_metrics",
+    "stream_location": "location_metrics",
+    "stream_hourly": "hourly_metrics",
+    "stream_raw_events": "stream_events",
+}
+
+
+def _streamed(s: StarSchema, table: str) -> FileStore:
+    session = streaming_session(s.spark)
+    source = StarSchema(session, s.folder)
+    folder = run_folder(s.spark, table)
+    store = FileStore(f"{folder}/tables")
+    delivery = Delivery(
+        store, dimensions=lambda spark: StarSchema(spark, s.folder).dimensions(), clock=lambda: AS_OF
+    )
+    messages = parsing.as_messages(source.stream_events_unbounded(), "event_id")
+    started = pipeline.start_pipeline(
+        messages, delivery, f"{folder}/checkpoints", pipeline.Schedule(drain=True), tables=[table]
+    )
+    pipeline.await_all(started.values())
+    return store
+
+
+for _name, _table in STREAMS.items():
+    named(_name)(lambda s, table=_table: _streamed(s, table).read(s.spark, model.TABLES[table]))
+
+named("stream_dead_letters")(
+    lambda s: _streamed(s, "stream_events").read_dead_letters(s.spark, "stream_events")
+)

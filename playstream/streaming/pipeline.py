@@ -1,0 +1,94 @@
+"""Streaming queries: five windowed metric tables and the raw events."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from playstream.model import METRIC_TABLES, STREAM_EVENTS, TABLES
+from playstream.operators.parsing import parse_events, readable
+from playstream.plans.metrics import windowed
+from playstream.streaming.delivery import Delivery
+
+LATENESS = "2 minutes"
+RAW = STREAM_EVENTS.name
+
+
+@dataclass(frozen=True)
+class Schedule:
+    """When batches run. ``drain`` handles all that is there and stops;
+    ``every`` is an interval; neither means as soon as the last one is done."""
+
+    drain: bool = False
+    every: str | None = None
+
+    def apply(self, writer):
+        if self.drain:
+            return writer.trigger(availableNow=True)
+        if self.every:
+            return writer.trigger(processingTime=self.every)
+        return writer
+
+
+def with_lateness(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    return events.withWatermark("timestamp", lateness)
+
+
+def metric_stream(events: DataFrame, table: str, lateness: str = LATENESS) -> DataFrame:
+    """Windows of one metric; each is emitted once, after the watermark passes it.
+
+    Distinct counts are sketches here: their state is bounded per window.
+    """
+    return windowed(with_lateness(events, lateness), table, exact_distinct=False)
+
+
+def start(
+    rows: DataFrame, table: str, delivery: Delivery, checkpoints: str, schedule: Schedule = Schedule()
+) -> StreamingQuery:
+    """Run one query with its own checkpoint, delivering to ``table``."""
+    writer = (
+        rows.writeStream.queryName(table)
+        .foreachBatch(delivery(TABLES[table]))
+        .outputMode("append")
+        .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{table}")
+    )
+    return schedule.apply(writer).start()
+
+
+def start_pipeline(
+    messages: DataFrame,
+    delivery: Delivery,
+    checkpoints: str,
+    schedule: Schedule = Schedule(),
+    lateness: str = LATENESS,
+    tables: Iterable[str] = (RAW, *(t.name for t in METRIC_TABLES)),
+) -> dict[str, StreamingQuery]:
+    """Start the raw copy and the metrics over one message source.
+
+    Raw rows have no watermark: late ones are stored and corrupt ones become dead
+    letters. Metrics take readable rows only.
+    """
+    parsed = parse_events(messages)
+    running = {}
+    for table in tables:
+        rows = parsed if table == RAW else metric_stream(readable(parsed), table, lateness)
+        running[table] = start(rows, table, delivery, checkpoints, schedule)
+    return running
+
+
+def active_queries(spark: SparkSession) -> list[tuple[str, str]]:
+    return [(str(q.id), q.name) for q in spark.streams.active]
+
+
+def await_all(queries: Iterable[StreamingQuery]) -> None:
+    """Wait until every query has ended; the first failure is raised."""
+    for query in queries:
+        query.awaitTermination()
+
+
+def await_any(spark: SparkSession) -> None:
+    """Wait until some query ends, as a long-running service does."""
+    spark.streams.awaitAnyTermination()
