@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playstream.model import Reference, Table
@@ -17,58 +17,79 @@ MISSING = "Missing required value: "
 VIOLATION = "Foreign key violation: "
 
 
+# Broken keys of one reference are broadcast up to this many (a few MB).
+BROADCAST_KEYS = 100_000
+
+
+def used_keys(rows: DataFrame, references: Sequence[Reference]) -> DataFrame:
+    """(reference, key, rows) for every key in use, NULL keys left out.
+
+    One scan turns the key columns into pairs. They are counted before the
+    shuffle, so a hot key costs one row per task.
+    """
+    return (
+        rows.unpivot([], [r.column for r in references], "reference", "key")
+        .where("key IS NOT NULL")
+        .groupBy("reference", "key")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
+def known_keys(dimensions: Mapping[str, DataFrame], references: Sequence[Reference]) -> DataFrame:
+    parts = [
+        dimensions[r.parent].selectExpr(f"'{r.column}' AS reference", f"{r.key} AS key") for r in references
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def broken_keys(
     rows: DataFrame, dimensions: Mapping[str, DataFrame], references: Sequence[Reference]
-) -> DataFrame | None:
-    """Keys used by ``rows`` that their dimension lacks: (reference, key).
+) -> DataFrame:
+    """Keys in use that their dimension lacks: (reference, key, rows).
 
-    Only distinct keys are shuffled, combined before the shuffle; the rows stay
-    where they are. NULL keys are valid and never listed.
+    Only distinct keys are shuffled and joined; the rows stay where they are.
     """
-    if not references:
-        return None
-    parts = []
-    for ref in references:
-        used = rows.select(F.col(ref.column).alias("key")).where(F.col("key").isNotNull()).distinct()
-        known = dimensions[ref.parent].select(F.col(ref.key).alias("key"))
-        parts.append(used.join(known, "key", "left_anti").select(F.lit(ref.column).alias("reference"), "key"))
-    return reduce(DataFrame.unionByName, parts)
+    return used_keys(rows, references).join(known_keys(dimensions, references), ["reference", "key"], "left_anti")
+
+
+def broken_sizes(broken: DataFrame) -> dict[str, int]:
+    """Number of broken keys per reference: at most one entry per reference."""
+    return {r["reference"]: r["count"] for r in broken.groupBy("reference").count().collect()}
 
 
 def _mark(rows: DataFrame, broken: DataFrame, ref: Reference, small: bool) -> DataFrame:
-    flag = f"_broken_{ref.column}"
-    keys = broken.where(F.col("reference") == ref.column).select(
-        F.col("key").alias(ref.column), F.lit(True).alias(flag)
+    keys = broken.where(F.col("reference") == ref.column).selectExpr(
+        f"key AS {ref.column}", f"true AS _broken_{ref.column}"
     )
     return rows.join(F.broadcast(keys) if small else keys, ref.column, "left")
 
 
 def with_reasons(
-    rows: DataFrame, table: Table, broken: DataFrame | None = None, small: bool = False
+    rows: DataFrame, table: Table, broken: DataFrame | None = None, sizes: Mapping[str, int] | None = None
 ) -> DataFrame:
     """Add ``_reasons``, the list of why a row cannot be stored (empty if it can).
 
-    ``small`` says that ``broken`` was counted and may be broadcast; the rows are
-    then not shuffled at all. Otherwise Spark joins by the table's known size and
-    splits partitions of a hot key while it runs.
+    ``sizes`` are the counted broken keys. References without any need no join,
+    and few keys are broadcast, so the rows are not shuffled. Beyond that, or
+    without counts, Spark joins by known table size and splits the partitions of
+    a hot key while it runs.
     """
     columns = rows.columns
     marked = rows
-    reasons: list[Column] = []
+    reasons: list[str] = []
     if CORRUPT in columns:
-        reasons.append(F.when(F.col(CORRUPT).isNotNull(), F.lit(MALFORMED)))
+        reasons.append(f"CASE WHEN {CORRUPT} IS NOT NULL THEN '{MALFORMED}' END")
     for name in table.required:
-        missing = F.col(name).isNull()
-        if CORRUPT in columns:
-            missing = missing & F.col(CORRUPT).isNull()
-        reasons.append(F.when(missing, F.lit(MISSING + name)))
-    if broken is not None:
-        for ref in table.references:
-            marked = _mark(marked, broken, ref, small)
-            text = F.concat(F.lit(f"{VIOLATION}{ref.column}="), F.col(ref.column).cast("string"))
-            reasons.append(F.when(F.col(f"_broken_{ref.column}"), text))
-    found = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
-    return marked.select(*columns, found.alias(REASONS))
+        is_missing = f"{name} IS NULL" + (f" AND {CORRUPT} IS NULL" if CORRUPT in columns else "")
+        reasons.append(f"CASE WHEN {is_missing} THEN '{MISSING}{name}' END")
+    for ref in table.references if broken is not None else ():
+        count = None if sizes is None else sizes.get(ref.column, 0)
+        if count == 0:
+            continue
+        marked = _mark(marked, broken, ref, count is not None and count <= BROADCAST_KEYS)
+        reasons.append(f"CASE WHEN _broken_{ref.column} THEN concat('{VIOLATION}{ref.column}=', {ref.column}) END")
+    found = f"array_compact(array({', '.join(reasons)}))" if reasons else "CAST(array() AS ARRAY<STRING>)"
+    return marked.select(*columns, F.expr(found).alias(REASONS))
 
 
 def valid(checked: DataFrame) -> DataFrame:
@@ -80,10 +101,19 @@ def invalid(checked: DataFrame) -> DataFrame:
 
 
 def split_by_references(
-    rows: DataFrame, table: Table, dimensions: Mapping[str, DataFrame], broken: DataFrame | None = None
+    rows: DataFrame,
+    table: Table,
+    dimensions: Mapping[str, DataFrame],
+    hold: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows to store, rows to reject). Any number of bad keys is handled at once."""
-    if broken is None:
-        broken = broken_keys(rows, dimensions, table.references)
-    checked = with_reasons(rows, table, broken)
+    """(rows to store, rows to reject). Any number of bad keys is handled at once.
+
+    ``hold`` keeps the broken keys, as by writing them to a table, so that they
+    are found once and can be counted.
+    """
+    broken, sizes = broken_keys(rows, dimensions, table.references), None
+    if hold is not None:
+        broken = hold(broken)
+        sizes = broken_sizes(broken)
+    checked = with_reasons(rows, table, broken, sizes)
     return valid(checked), invalid(checked)

@@ -51,7 +51,8 @@ def load_table(
     existing = store.read(spark, table, other_than_batch=batch)
     fresh = new_rows(incoming, existing, table.primary_key)
     parents = {r.parent: store.read(spark, _dimension(r.parent)) for r in table.references}
-    checked = with_reasons(fresh, table, broken_keys(fresh, parents, table.references))
+    broken = broken_keys(fresh, parents, table.references) if parents else None
+    checked = with_reasons(fresh, table, broken)
     seen = Observation(f"load_{table.name}_{batch}")
     store.write(valid(checked).observe(seen, F.count(F.lit(1)).alias("loaded")), table, batch)
     store.write_dead_letters(to_dead_letters(invalid(checked), table.name, batch, at), table.name, batch)

@@ -23,7 +23,9 @@ def parse_json(messages: DataFrame, schema: T.StructType, keep: tuple[str, ...]
         with_corrupt,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return messages.select(*keep, parsed.alias("data")).select(*keep, "data.*")
+    # A generator, not a projection: later filters stay above it, so that no
+    # message is parsed a second time to evaluate them.
+    return messages.select(*keep, F.inline(F.array(parsed)))
 
 
 def _typed(field: T.StructField, event_time: T.DataType) -> Column:

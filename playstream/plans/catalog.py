@@ -149,14 +149,14 @@ def _event_messages(s: StarSchema) -> DataFrame:
     return parsing.as_messages(s.stream_events, "event_id")
 
 
-def _settled(s: StarSchema, df: DataFrame) -> DataFrame:
-    return settled(df, run_folder(s.spark, "broken-keys"))
+def _checked(s: StarSchema, rows: DataFrame, dimensions: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    return integrity.split_by_references(
+        rows, model.STREAM_EVENTS, dimensions, hold=lambda df: settled(df, run_folder(s.spark, "broken-keys"))
+    )
 
 
 def _split(s: StarSchema) -> tuple[DataFrame, DataFrame]:
-    events, dimensions = s.stream_events, s.dimensions()
-    broken = integrity.broken_keys(events, dimensions, model.STREAM_EVENTS.references)
-    return integrity.split_by_references(events, model.STREAM_EVENTS, dimensions, _settled(s, broken))
+    return _checked(s, s.stream_events, s.dimensions())
 
 
 named("parse_events")(
@@ -246,8 +246,7 @@ def _(s):
     for table, key in (("devices", "device_id"), ("locations", "location_id")):
         seen = events.select(key).distinct().where(F.col(key).isNotNull())
         dimensions[table] = dimensions[table].select(key).unionByName(seen).distinct()
-    broken = _settled(s, integrity.broken_keys(again, dimensions, model.STREAM_EVENTS.references))
-    return integrity.split_by_references(again, model.STREAM_EVENTS, dimensions, broken)[0]
+    return _checked(s, again, dimensions)[0]
 
 
 # Streams: each runs over the supplied events until all are handled.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from playstream import model
 from playstream.functions.measures import row_count
+from playstream.operators.integrity import broken_keys
 
 
 def _stack(parts: list[DataFrame]) -> DataFrame:
@@ -27,31 +28,16 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def orphan_counts(
     events: DataFrame, dimensions: dict[str, DataFrame], references=model.STREAM_EVENTS.references
 ) -> DataFrame:
-    """Rows whose key is set but missing from its dimension, per reference.
-
-    One scan: the key columns are turned into (reference, key) pairs and counted
-    before the shuffle, and only distinct pairs meet the dimension keys.
-    """
-    columns = [r.column for r in references]
-    pairs = (
-        events.unpivot([], columns, "issue", "key").where(F.col("key").isNotNull()).groupBy("issue", "key").agg(row_count().alias("rows"))
-    )
-    known = _stack(
-        [
-            dimensions[r.parent].select(F.lit(r.column).alias("issue"), F.col(r.key).alias("key"))
-            for r in references
-        ]
-    )
-    missing = pairs.join(known, ["issue", "key"], "left_anti").select("issue", "rows")
+    """Rows whose key is set but missing from its dimension, one line per reference."""
+    missing = broken_keys(events, dimensions, references).select("reference", "rows")
     # Every reference is listed, also one without orphans.
-    listed = events.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(c) for c in columns])).alias("issue"), F.lit(0).cast("long").alias("rows")
-    )
+    names = ", ".join(f"'{r.column}'" for r in references)
+    listed = events.sparkSession.range(1).selectExpr(f"explode(array({names})) AS reference", "0L AS rows")
     return (
         missing.unionByName(listed)
-        .groupBy("issue")
+        .groupBy("reference")
         .agg(F.sum("rows").alias("count"))
-        .select(F.concat(F.lit("Orphaned "), "issue").alias("issue"), "count")
+        .select(F.concat(F.lit("Orphaned "), "reference").alias("issue"), "count")
     )
 
 

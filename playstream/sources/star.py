@@ -6,9 +6,10 @@ column choice on the derived table still reach the Parquet scan.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from playstream import model
 
@@ -23,29 +24,35 @@ BROWSERS = ("Safari", "Chrome", "Edge", "Firefox", "N/A")
 ALBUM_STEP = 5
 DEVICE_COUNT = 10
 
-SOURCE_EVENTS = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("props", T.StringType()),
-    ]
-)
+# Supplied columns in use. Declaring them saves a schema-reading job per scan.
+SUPPLIED = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "documents": "doc_id bigint, text string",
+}
 
 
-def _pick(names: tuple[str, ...], key: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), (key % len(names) + 1).cast("int"))
+def _pick(names: tuple[str, ...], key: str) -> str:
+    listed = ", ".join(f"'{n}'" for n in names)
+    return f"element_at(array({listed}), CAST({key} % {len(names)} + 1 AS INT))"
 
 
-def _released(key: Column) -> Column:
-    return F.date_add(F.lit("2014-01-01").cast("date"), (key * 13 % 3650).cast("int"))
+def _released(key: str) -> str:
+    return f"date_add(DATE '2014-01-01', CAST({key} * 13 % 3650 AS INT))"
 
 
-def _shaped(df: DataFrame, table: model.Table) -> DataFrame:
-    """Order and cast the columns as the table declares."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
+def _shaped(df: DataFrame, table: model.Table, **columns: str) -> DataFrame:
+    """Compute the columns, in the order and of the types the table declares."""
+    return df.selectExpr(
+        *[f"CAST({columns[f.name]} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in table.schema.fields]
+    )
 
 
 class StarSchema:
@@ -54,138 +61,125 @@ class StarSchema:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
 
     def supplied(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._scans:
+            reader = self.spark.read.schema(SUPPLIED[name])
+            self._scans[name] = reader.parquet(f"{self.folder}/{name}.parquet")
+        return self._scans[name]
 
-    def _size(self, df: DataFrame) -> Column:
-        return df.agg(F.count(F.lit(1))).scalar()
+    def _nation_of(self, name: str, nation_key: str) -> DataFrame:
+        return self.supplied(name).join(self.supplied("nation"), F.expr(f"{nation_key} = n_nationkey"))
 
-    @property
+    @cached_property
     def users(self) -> DataFrame:
-        key = F.col("c_custkey")
         return _shaped(
-            self.supplied("customer")
-            .join(self.supplied("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                key.alias("user_id"),
-                F.col("c_name").alias("username"),
-                F.when(key % 97 != 0, 14 + key * 7 % 60).alias("age"),
-                _pick(GENDERS, key).alias("gender"),
-                F.col("c_mktsegment").alias("subscription_type"),
-                F.date_add(F.lit("2021-01-01").cast("date"), (key % 1000).cast("int")).alias("registration_date"),
-                F.col("n_name").alias("country"),
-            ),
+            self._nation_of("customer", "c_nationkey"),
             model.USERS,
+            user_id="c_custkey",
+            username="c_name",
+            age="CASE WHEN c_custkey % 97 != 0 THEN 14 + c_custkey * 7 % 60 END",
+            gender=_pick(GENDERS, "c_custkey"),
+            subscription_type="c_mktsegment",
+            registration_date="date_add(DATE '2021-01-01', CAST(c_custkey % 1000 AS INT))",
+            country="n_name",
         )
 
-    @property
+    @cached_property
     def artists(self) -> DataFrame:
-        key = F.col("s_suppkey")
         return _shaped(
-            self.supplied("supplier")
-            .join(self.supplied("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(
-                key.alias("artist_id"),
-                F.col("s_name").alias("name"),
-                F.col("n_name").alias("country"),
-                _pick(GENRES, key).alias("genre"),
-                (key % 2 == 0).alias("is_band"),
-            ),
+            self._nation_of("supplier", "s_nationkey"),
             model.ARTISTS,
+            artist_id="s_suppkey",
+            name="s_name",
+            country="n_name",
+            genre=_pick(GENRES, "s_suppkey"),
+            is_band="s_suppkey % 2 = 0",
         )
 
-    @property
+    @cached_property
     def _album_parts(self) -> DataFrame:
-        return self.supplied("part").where(F.col("p_partkey") % ALBUM_STEP == 0)
+        return self.supplied("part").where(f"p_partkey % {ALBUM_STEP} = 0")
 
-    @property
+    @cached_property
     def albums(self) -> DataFrame:
-        key = F.col("p_partkey")
+        suppliers = self._size(self.supplied("supplier")).alias("suppliers")
         return _shaped(
-            self._album_parts.select(
-                key.alias("album_id"),
-                F.col("p_name").alias("title"),
-                (key % self._size(self.supplied("supplier"))).alias("artist_id"),
-                _released(key).alias("release_date"),
-                (5 + key % 11).alias("total_tracks"),
-                _pick(ALBUM_TYPES, key).alias("album_type"),
-            ),
+            self._album_parts.select("*", suppliers),
             model.ALBUMS,
+            album_id="p_partkey",
+            title="p_name",
+            artist_id="p_partkey % suppliers",
+            release_date=_released("p_partkey"),
+            total_tracks="5 + p_partkey % 11",
+            album_type=_pick(ALBUM_TYPES, "p_partkey"),
         )
 
-    @property
+    @cached_property
     def songs(self) -> DataFrame:
-        key = F.col("p_partkey")
         return _shaped(
-            self.supplied("part").select(
-                key.alias("song_id"),
-                F.col("p_name").alias("title"),
-                (120 + F.col("p_size") * 6).alias("duration_seconds"),
-                _released(key).alias("release_date"),
-                F.col("p_type").alias("genre"),
-                F.col("p_brand").alias("language"),
-                (key % 3 == 0).alias("explicit"),
-            ),
+            self.supplied("part"),
             model.SONGS,
+            song_id="p_partkey",
+            title="p_name",
+            duration_seconds="120 + p_size * 6",
+            release_date=_released("p_partkey"),
+            genre="p_type",
+            language="p_brand",
+            explicit="p_partkey % 3 = 0",
         )
 
-    @property
+    @cached_property
     def devices(self) -> DataFrame:
-        key = F.col("s_suppkey")
         return _shaped(
-            self.supplied("supplier")
-            .where(key < DEVICE_COUNT)
-            .select(
-                key.alias("device_id"),
-                _pick(DEVICE_TYPES, key).alias("device_type"),
-                _pick(OPERATING_SYSTEMS, key).alias("os"),
-                _pick(BROWSERS, key).alias("browser"),
-                F.concat_ws(".", (1 + key % 5).cast("string"), (key % 10).cast("string"), F.lit("0")).alias(
-                    "app_version"
-                ),
-            ),
+            self.supplied("supplier").where(f"s_suppkey < {DEVICE_COUNT}"),
             model.DEVICES,
+            device_id="s_suppkey",
+            device_type=_pick(DEVICE_TYPES, "s_suppkey"),
+            os=_pick(OPERATING_SYSTEMS, "s_suppkey"),
+            browser=_pick(BROWSERS, "s_suppkey"),
+            app_version="concat(1 + s_suppkey % 5, '.', s_suppkey % 10, '.0')",
         )
 
-    @property
+    @cached_property
     def locations(self) -> DataFrame:
         return _shaped(
-            self.supplied("nation")
-            .join(self.supplied("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                F.col("n_nationkey").alias("location_id"),
-                F.col("n_name").alias("country"),
-                F.col("r_name").alias("region"),
-                F.concat(F.lit("City_"), F.col("n_nationkey").cast("string")).alias("city"),
-                F.concat(F.lit("Zone_"), F.col("n_regionkey").cast("string")).alias("timezone"),
-            ),
+            self.supplied("nation").join(self.supplied("region"), F.expr("n_regionkey = r_regionkey")),
             model.LOCATIONS,
+            location_id="n_nationkey",
+            country="n_name",
+            region="r_name",
+            city="concat('City_', n_nationkey)",
+            timezone="concat('Zone_', n_regionkey)",
         )
 
+    @staticmethod
+    def _size(df: DataFrame) -> Column:
+        return df.agg(F.count(F.lit(1))).scalar()
+
     def _as_play_events(self, raw: DataFrame, songs: Column, artists: Column, albums: Column) -> DataFrame:
-        n, kind = F.col("event_id"), F.col("event_type")
+        sized = raw.select("*", songs.alias("songs"), artists.alias("artists"), albums.alias("albums"))
         return _shaped(
-            raw.select(
-                F.concat(F.lit("ev-"), n.cast("string")).alias("event_id"),
-                F.when(n % 101 != 0, F.col("user_id")).alias("user_id"),
-                (n * 37 % (songs + 4)).alias("song_id"),
-                (n * 17 % (artists + 1)).alias("artist_id"),
-                (ALBUM_STEP * (n * 19 % (albums + 2))).alias("album_id"),
-                (n % 11).alias("device_id"),
-                (n * 3 % 26).alias("location_id"),
-                F.col("ts").alias("timestamp"),
-                F.floor("value").alias("stream_duration_seconds"),
-                kind.isin("view", "purchase", "click").alias("is_complete_play"),
-                (kind == "error").alias("is_skipped"),
-                ((kind == "purchase") | (n % 7 == 0)).alias("is_liked"),
-                (n % 10 == 3).alias("is_shared"),
-                (kind == "signup").alias("is_added_to_playlist"),
-            ),
+            sized,
             model.STREAM_EVENTS,
+            event_id="concat('ev-', event_id)",
+            user_id="CASE WHEN event_id % 101 != 0 THEN user_id END",
+            song_id="event_id * 37 % (songs + 4)",
+            artist_id="event_id * 17 % (artists + 1)",
+            album_id=f"{ALBUM_STEP} * (event_id * 19 % (albums + 2))",
+            device_id="event_id % 11",
+            location_id="event_id * 3 % 26",
+            timestamp="ts",
+            stream_duration_seconds="floor(value)",
+            is_complete_play="event_type IN ('view', 'purchase', 'click')",
+            is_skipped="event_type = 'error'",
+            is_liked="event_type = 'purchase' OR event_id % 7 = 0",
+            is_shared="event_id % 10 = 3",
+            is_added_to_playlist="event_type = 'signup'",
         )
 
-    @property
+    @cached_property
     def stream_events(self) -> DataFrame:
         return self._as_play_events(
             self.supplied("events"),
@@ -200,7 +194,7 @@ class StarSchema:
         Three row counts are taken first: a stream keeps no scalar subqueries.
         """
         raw = (
-            self.spark.readStream.schema(SOURCE_EVENTS)
+            self.spark.readStream.schema(SUPPLIED["events"])
             .option("pathGlobFilter", "events.parquet")
             .parquet(self.folder)
         )

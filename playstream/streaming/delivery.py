@@ -12,14 +12,11 @@ from pyspark.sql import functions as F
 
 from playstream.model import Table
 from playstream.operators.deadletter import to_dead_letters
-from playstream.operators.integrity import broken_keys, invalid, valid, with_reasons
+from playstream.operators.integrity import broken_keys, broken_sizes, invalid, valid, with_reasons
 from playstream.sinks.store import FileStore
 
 Dimensions = Callable[[SparkSession], dict[str, DataFrame]]
 
-# Broken keys are broadcast up to this many (three small columns each, a few MB).
-BROADCAST_KEYS = 100_000
-
 
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -48,24 +45,27 @@ class Delivery:
         return lambda rows, batch: self.deliver(rows, batch, table)
 
     def deliver(self, rows: DataFrame, batch: int, table: Table) -> None:
-        """Store one batch. Running it again replaces what it wrote before."""
+        """Store one batch. Running it again replaces what it wrote before.
+
+        Counting fills the cache and commits the state of every partition. Most
+        batches of a metric close no window and end there.
+        """
         kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._check_and_write(kept, batch, table)
+            if kept.count():
+                self._check_and_write(kept, batch, table)
         finally:
             kept.unpersist()
 
     def _check_and_write(self, rows: DataFrame, batch: int, table: Table) -> None:
-        dimensions = self.dimensions(rows.sparkSession) if self.dimensions else None
-        references = table.references if dimensions else ()
-        broken, small = broken_keys(rows, dimensions or {}, references), False
-        if broken is not None:
+        broken, sizes = None, None
+        if self.dimensions and table.references:
+            broken = broken_keys(rows, self.dimensions(rows.sparkSession), table.references)
             broken = broken.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if broken is not None:
-                found = broken.limit(BROADCAST_KEYS + 1).count()
-                small = found <= BROADCAST_KEYS
-            checked = with_reasons(rows, table, broken if broken is not None and found else None, small)
+                sizes = broken_sizes(broken)
+            checked = with_reasons(rows, table, broken, sizes)
             self._store(valid(checked), rows, batch, table)
             rejected = to_dead_letters(invalid(checked), table.name, batch, self.clock())
             self.store.write_dead_letters(rejected, table.name, batch)
