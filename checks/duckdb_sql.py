@@ -366,13 +366,76 @@ PIPELINE = {
         AND NOT ({' OR '.join(_is_broken(k, d) for k, d in REFERENCES if d not in ('devices', 'locations'))})""",
 }
 
+FURTHER = {
+    "session_duration_by_user": """
+        SELECT user_id, count(*) AS sessions,
+               CAST(sum(epoch_us(ended) - epoch_us(began)) AS BIGINT) / count(*) / 1000000 AS avg_session_seconds
+        FROM (SELECT user_id, nth, min("timestamp") AS began, max("timestamp") AS ended
+              FROM (SELECT *, count(*) FILTER (fresh) OVER (
+                               PARTITION BY user_id ORDER BY "timestamp", event_id
+                               ROWS UNBOUNDED PRECEDING) AS nth
+                    FROM (SELECT *, coalesce("timestamp" - lag("timestamp") OVER (
+                                     PARTITION BY user_id ORDER BY "timestamp", event_id) > INTERVAL 30 MINUTE,
+                                     true) AS fresh
+                          FROM stream_events WHERE user_id IS NOT NULL) AS marked) AS numbered
+              GROUP BY user_id, nth) AS runs
+        GROUP BY user_id""",
+    "top_artists": """
+        SELECT name AS artist_name, count(*) AS stream_count FROM stream_events JOIN artists USING (artist_id)
+        GROUP BY name ORDER BY stream_count DESC, artist_name LIMIT 10""",
+    "top_genres": """
+        SELECT genre, count(*) AS stream_count FROM stream_events JOIN songs USING (song_id)
+        GROUP BY genre ORDER BY stream_count DESC, genre LIMIT 10""",
+    "skip_rate_by_song": f"""
+        SELECT title, count(*) AS total_streams, count(*) FILTER (is_skipped) AS skipped_streams,
+               {_pct('count(*) FILTER (is_skipped)')} AS skip_rate
+        FROM stream_events JOIN songs USING (song_id) GROUP BY title""",
+    "skip_rate_by_artist": f"""
+        SELECT name, count(*) AS total_streams, count(*) FILTER (is_skipped) AS skipped_streams,
+               {_pct('count(*) FILTER (is_skipped)')} AS skip_rate
+        FROM stream_events JOIN artists USING (artist_id) GROUP BY name""",
+    "user_summary": f"""
+        SELECT user_id, username, count(*) AS stream_count, count(DISTINCT song_id) AS songs_played,
+               CAST(sum(stream_duration_seconds) AS BIGINT) AS total_listen_time,
+               {_pct('count(*) FILTER (is_skipped)')} AS skip_rate,
+               {_pct('count(*) FILTER (is_liked)')} AS like_rate
+        FROM stream_events JOIN users USING (user_id) GROUP BY user_id, username""",
+    "activity_by_weekday": """
+        SELECT CAST(dayofweek("timestamp") + 1 AS INT) AS day_of_week, count(*) AS stream_count,
+               count(DISTINCT user_id) AS unique_users
+        FROM stream_events GROUP BY ALL""",
+    "popular_genres_by_region": """
+        SELECT region, genre, count(*) AS stream_count,
+               CAST(row_number() OVER (PARTITION BY region ORDER BY count(*) DESC, genre) AS INT) AS genre_rank
+        FROM stream_events JOIN songs USING (song_id) JOIN locations USING (location_id)
+        GROUP BY region, genre QUALIFY genre_rank <= 3""",
+    "engagement_by_subscription": f"""
+        SELECT subscription_type, count(*) AS stream_count, count(DISTINCT user_id) AS unique_users,
+               CAST(round(1.0 * count(*) / count(DISTINCT user_id), 2) AS DOUBLE) AS streams_per_user,
+               {_pct('count(*) FILTER (is_liked)')} AS like_rate
+        FROM stream_events JOIN users USING (user_id) GROUP BY subscription_type""",
+    "completion_by_device_type": f"""
+        SELECT device_type, count(*) AS total_streams, count(*) FILTER (is_complete_play) AS completed_streams,
+               {_pct('count(*) FILTER (is_complete_play)')} AS completion_rate
+        FROM stream_events JOIN devices USING (device_id) GROUP BY device_type""",
+    "listen_time_by_device_type_and_os": """
+        SELECT device_type, os, avg(stream_duration_seconds) AS avg_listen_time
+        FROM stream_events JOIN devices USING (device_id) GROUP BY device_type, os""",
+    "users_by_country": """
+        SELECT country, count(DISTINCT user_id) AS unique_users
+        FROM stream_events JOIN locations USING (location_id) GROUP BY country""",
+    "activity_by_region": """
+        SELECT region, count(*) AS stream_count, count(DISTINCT user_id) AS unique_users
+        FROM stream_events JOIN locations USING (location_id) GROUP BY region""",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     found = {name: _query(f"SELECT * FROM {name}") for name in METRIC_NAMES}
     found |= {name: _query(body) for name, body in BUSINESS.items()}
     found["trending_songs"] = TRENDING
     found |= {name: _query(body) for name, body in DASHBOARD.items()}
-    found |= {name: _query(body) for name, body in PIPELINE.items()}
+    found |= {name: _query(body) for name, body in (FURTHER | PIPELINE).items()}
     for name in ("dead_letter_rows", "stream_dead_letters"):
         found[name] = _query(LETTERS, invalid_rows=INVALID)
     return found

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from playstream import model
 from playstream.functions import timeparts
-from playstream.operators import changelog, deadletter, integrity, parsing
-from playstream.plans import business, dashboard, metrics, quality
+from playstream.operators import changelog, deadletter, integrity, parsing, sessions
+from playstream.plans import business, dashboard, further, metrics, quality
 from playstream.session import run_folder, streaming_session
 from playstream.sinks.store import FileStore, settled
 from playstream.sources.star import StarSchema
@@ -141,6 +141,26 @@ named("recent_engagement")(
 )
 
 
+# Further reports.
+named("session_duration_by_user")(lambda s: sessions.session_duration_by_user(s.stream_events))
+named("top_artists")(lambda s: further.top_artists(s.stream_events, s.artists))
+named("top_genres")(lambda s: further.top_genres(s.stream_events, s.songs))
+named("skip_rate_by_song")(lambda s: further.skip_rate_by(s.stream_events, s.songs, "song_id", "title"))
+named("skip_rate_by_artist")(lambda s: further.skip_rate_by(s.stream_events, s.artists, "artist_id", "name"))
+named("user_summary")(lambda s: further.user_summary(s.stream_events, s.users))
+named("activity_by_weekday")(lambda s: further.activity_by_weekday(s.stream_events))
+named("popular_genres_by_region")(
+    lambda s: further.popular_genres_by_region(s.stream_events, s.songs, s.locations)
+)
+named("engagement_by_subscription")(lambda s: further.engagement_by_subscription(s.stream_events, s.users))
+named("completion_by_device_type")(lambda s: further.completion_by_device_type(s.stream_events, s.devices))
+named("listen_time_by_device_type_and_os")(
+    lambda s: further.listen_time_by_device_type_and_os(s.stream_events, s.devices)
+)
+named("users_by_country")(lambda s: further.users_by_country(s.stream_events, s.locations))
+named("activity_by_region")(lambda s: further.activity_by_region(s.stream_events, s.locations))
+
+
 # Pipeline operators.
 CHANGE_FIELDS = ("user_id", "device_id", "location_id", "timestamp", "is_skipped")
 
