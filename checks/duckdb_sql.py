@@ -360,6 +360,8 @@ PIPELINE = {
         "content_performance_metrics", "1 MINUTE", ("song_id", "songs"), ("artist_id", "artists")
     ),
     "stream_device": _closed("device_metrics", "1 MINUTE", ("device_id", "devices")),
+    # Sketches of so few values per window and place count exactly.
+    "stream_location": _closed("location_metrics", "1 MINUTE", ("location_id", "locations")),
     "stream_raw_events": f"FROM stream_events WHERE NOT ({ANY_BROKEN})",
     "replayed_dead_letters": f"""
         FROM stream_events WHERE ({ANY_BROKEN})

@@ -195,7 +195,8 @@ TABLES = {t.name: t for t in (*DIMENSIONS, STREAM_EVENTS, *METRIC_TABLES)}
 
 def load_order(tables=DIMENSIONS) -> list[Table]:
     """Parents before children, otherwise in the given order."""
-    waiting, placed, names = list(tables), [], {t.name for t in tables}
+    waiting, placed = list(tables), []
+    names = {t.name for t in waiting}
     while waiting:
         done = {t.name for t in placed}
         ready = next(
