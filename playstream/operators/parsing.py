@@ -32,7 +32,7 @@ def _typed(field: T.StructField, event_time: T.DataType) -> Column:
     """Wire text to the stored type; text that is no time or date becomes NULL."""
     column = F.col(field.name)
     if isinstance(field.dataType, T.TimestampNTZType):
-        return F.try_to_timestamp(column).cast(event_time).alias(field.name)
+        return column.try_cast(event_time).alias(field.name)
     if isinstance(field.dataType, T.DateType):
         return column.try_cast("date").alias(field.name)
     return column

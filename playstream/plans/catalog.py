@@ -15,7 +15,7 @@ from playstream.plans import business, dashboard, further, metrics, quality
 from playstream.session import run_folder, streaming_session
 from playstream.sinks.store import FileStore, settled
 from playstream.sources.star import StarSchema
-from playstream.streaming import pipeline
+from playstream.streaming import job
 from playstream.streaming.delivery import Delivery
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -289,10 +289,10 @@ def _streamed(s: StarSchema, table: str) -> FileStore:
         store, dimensions=lambda spark: StarSchema(spark, s.folder).dimensions(), clock=lambda: AS_OF
     )
     messages = parsing.as_messages(source.stream_events_unbounded(), "event_id")
-    started = pipeline.start_pipeline(
-        messages, delivery, f"{folder}/checkpoints", pipeline.Schedule(drain=True), tables=[table]
+    started = job.start_all(
+        messages, delivery, f"{folder}/checkpoints", job.Schedule(drain=True), tables=[table]
     )
-    pipeline.await_all(started.values())
+    job.await_all(started.values())
     return store
 
 

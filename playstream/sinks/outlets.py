@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+from datetime import datetime
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playstream.functions.timeparts import moment
 from playstream.model import Table
-from playstream.sources.tables import Connection
+from playstream.sources.tables import Connection, Split, relational_scan
 
 # Lets a store with a native UUID column accept the text form.
 TEXT_AS_UUID = ("stringtype", "unspecified")
@@ -46,22 +51,75 @@ def bus_append(messages: DataFrame, servers: str, topic: str) -> None:
 def unseen_rows(rows: DataFrame, stored: DataFrame, table: Table) -> DataFrame:
     """Rows not yet in a store that only appends, for replays.
 
-    Only stored keys in the time range of the batch are looked at; the range is
-    one row, and the store's time index or date folders serve the rest.
+    NULL keys count as equal. ``stored`` should be limited to the period of
+    ``rows`` already; see ``period``.
     """
     keys = list(table.primary_key)
-    clock = table.partition_date
-    if clock:
-        low, high = rows.agg(F.min(clock), F.max(clock)).first()
-        if low is None:
-            return rows
-        stored = stored.where(F.col(clock).between(F.lit(low), F.lit(high)))
-    matches = None
     slim = stored.select(*[F.col(k).alias(f"_stored_{k}") for k in keys])
-    for key in keys:
-        equal = F.col(key).eqNullSafe(F.col(f"_stored_{key}"))
-        matches = equal if matches is None else matches & equal
-    return rows.join(slim, matches, "left_anti")
+    matches = [F.col(k).eqNullSafe(F.col(f"_stored_{k}")) for k in keys]
+    return rows.join(slim, reduce(Column.__and__, matches), "left_anti")
+
+
+def period(rows: DataFrame, column: str) -> tuple | None:
+    """First and last time in the rows, or None without rows."""
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    return None if low is None else (low, high)
+
+
+class RelationalStore:
+    """Tables in a relational store, which only appends.
+
+    A write that was cut short leaves some rows behind, so a batch first leaves
+    out what is stored already, looking only at the batch's own period.
+    ``splits`` lets large tables be read in parallel.
+    """
+
+    def __init__(
+        self,
+        connection: Connection,
+        splits: Mapping[str, Split] | None = None,
+        max_connections: int | None = None,
+    ):
+        self.connection = connection
+        self.splits = dict(splits or {})
+        self.max_connections = max_connections
+
+    def read(
+        self,
+        spark: SparkSession,
+        table: Table,
+        other_than_batch: int | None = None,
+        since: datetime | None = None,
+    ) -> DataFrame:
+        """Rows of a table; batches are not told apart here."""
+        rows = relational_scan(spark, self.connection, table.name, self.splits.get(table.name))
+        if since is not None:
+            rows = rows.where(F.col(table.partition_date) >= moment(since))
+        return rows
+
+    def write(self, rows: DataFrame, table: Table, batch: int) -> None:
+        shaped = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
+        stored = self.read(rows.sparkSession, table)
+        if table.partition_date:
+            span = period(shaped, table.partition_date)
+            if span is None:
+                return
+            stored = stored.where(F.col(table.partition_date).between(*map(moment, span)))
+        self._append(unseen_rows(shaped, stored, table), table)
+
+    def _append(self, rows: DataFrame, table: Table) -> None:
+        relational_append(rows, self.connection, table.name, max_connections=self.max_connections)
+
+
+class BusLetters:
+    """Dead letters as messages of one topic."""
+
+    def __init__(self, servers: str, topic: str = "dead-letter-queue"):
+        self.servers = servers
+        self.topic = topic
+
+    def write_dead_letters(self, letters: DataFrame, table: str, batch: int) -> None:
+        bus_append(letters, self.servers, self.topic)
 
 
 def console(stream: DataFrame):

@@ -8,12 +8,14 @@ time filters skip files.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playstream.functions.timeparts import moment
 from playstream.model import Table
 
 BATCH = "batch"
@@ -60,11 +62,24 @@ class FileStore:
         layout = self._layout(table)
         return _or_empty(spark, lambda: spark.read.schema(layout).parquet(self._folder(table.name)), layout)
 
-    def read(self, spark: SparkSession, table: Table, other_than_batch: int | None = None) -> DataFrame:
-        """Stored rows; ``other_than_batch`` leaves out what a replay will replace."""
+    def read(
+        self,
+        spark: SparkSession,
+        table: Table,
+        other_than_batch: int | None = None,
+        since: datetime | None = None,
+    ) -> DataFrame:
+        """Stored rows.
+
+        ``other_than_batch`` leaves out what a replay will replace. ``since`` is a
+        lower time bound; date folders before it are not opened.
+        """
         rows = self._rows(spark, table)
         if other_than_batch is not None:
             rows = rows.where(F.col(BATCH) != other_than_batch)
+        if since is not None:
+            recent = F.col(table.partition_date) >= moment(since)
+            rows = rows.where((F.col(DATE) >= F.lit(since.date())) & recent)
         return rows.select(*table.columns)
 
     def read_period(self, spark: SparkSession, table: Table, first: str, last: str) -> DataFrame:

@@ -33,7 +33,7 @@ class Split:
 
 
 def scan_options(table: str, split: Split | None = None, fetch_size: int = 10_000) -> dict[str, str]:
-    options = {"dbtable": table, "fetchsize": str(fetch_size)}
+    options = {"dbtable": table, "fetchsize": str(fetch_size), "preferTimestampNTZ": "true"}
     if split:
         options |= {
             "partitionColumn": split.column,

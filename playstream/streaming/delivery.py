@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from typing import Protocol
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,19 @@ from pyspark.sql import functions as F
 from playstream.model import Table
 from playstream.operators.deadletter import to_dead_letters
 from playstream.operators.integrity import broken_keys, broken_sizes, invalid, valid, with_reasons
-from playstream.sinks.store import FileStore
+
+
+class RowStore(Protocol):
+    """Holds tables. Writing one batch twice must leave it stored once."""
+
+    def write(self, rows: DataFrame, table: Table, batch: int) -> None: ...
+
+
+class LetterBox(Protocol):
+    """Takes dead letters: rows with one ``value`` of text."""
+
+    def write_dead_letters(self, letters: DataFrame, table: str, batch: int) -> None: ...
+
 
 Dimensions = Callable[[SparkSession], dict[str, DataFrame]]
 
@@ -26,14 +39,16 @@ def _now() -> datetime:
 class Delivery:
     """Settings of a delivery.
 
+    ``letters`` takes the dead letters, by default the store itself.
     ``dimensions`` is asked anew for every batch, so rows added to a dimension
     count from the next batch on. ``on_error`` says what happens when the store
     itself fails: ``fail`` stops the query, which retries the batch on restart;
     ``dead-letter`` keeps the whole batch as dead letters and goes on.
     """
 
-    store: FileStore
+    store: RowStore
     dimensions: Dimensions | None = None
+    letters: LetterBox | None = None
     on_error: str = "fail"
     clock: Callable[[], datetime] = field(default=_now)
 
@@ -41,6 +56,10 @@ class Delivery:
         if self.on_error not in ("fail", "dead-letter"):
             raise ValueError(f"on_error: {self.on_error}")
 
+    @property
+    def _letters(self) -> LetterBox:
+        return self.letters or self.store
+
     def __call__(self, table: Table) -> Callable[[DataFrame, int], None]:
         return lambda rows, batch: self.deliver(rows, batch, table)
 
@@ -68,7 +87,7 @@ class Delivery:
             checked = with_reasons(rows, table, broken, sizes)
             self._store(valid(checked), rows, batch, table)
             rejected = to_dead_letters(invalid(checked), table.name, batch, self.clock())
-            self.store.write_dead_letters(rejected, table.name, batch)
+            self._letters.write_dead_letters(rejected, table.name, batch)
         finally:
             if broken is not None:
                 broken.unpersist()
@@ -82,4 +101,4 @@ class Delivery:
             if self.on_error == "fail":
                 raise
             letters = to_dead_letters(everything, table.name, batch, self.clock(), message=str(error))
-            self.store.write_dead_letters(letters, f"{table.name}_unstored", batch)
+            self._letters.write_dead_letters(letters, f"{table.name}_unstored", batch)

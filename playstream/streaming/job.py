@@ -6,10 +6,11 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from playstream.model import METRIC_TABLES, STREAM_EVENTS, TABLES
-from playstream.operators.parsing import parse_events, readable
+from playstream.operators.parsing import CORRUPT, parse_events, readable
 from playstream.plans.metrics import windowed
 from playstream.streaming.delivery import Delivery
 
@@ -58,7 +59,39 @@ def start(
     return schedule.apply(writer).start()
 
 
-def start_pipeline(
+def start_landing(
+    messages: DataFrame, folder: str, checkpoints: str, schedule: Schedule = Schedule()
+) -> StreamingQuery:
+    """Parse the bus once and land the result as Parquet, each message exactly once.
+
+    Spark's file sink records which files belong to finished batches, and streams
+    over the folder read only those. Six queries then share one parse and each
+    reads only the columns it needs.
+    """
+    writer = (
+        parse_events(messages)
+        .writeStream.queryName("landing")
+        .format("parquet")
+        .option("path", folder)
+        .outputMode("append")
+        .option("checkpointLocation", f"{checkpoints.rstrip('/')}/landing")
+    )
+    return schedule.apply(writer).start()
+
+
+def landed_events(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Stream over a landing folder; takes the place of parsed messages."""
+    fields = STREAM_EVENTS.schema.fields
+    as_parsed = [
+        T.StructField(f.name, T.TimestampType()) if isinstance(f.dataType, T.TimestampNTZType) else f for f in fields
+    ]
+    reader = spark.readStream.schema(T.StructType([*as_parsed, T.StructField(CORRUPT, T.StringType())]))
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
+
+
+def start_all(
     messages: DataFrame,
     delivery: Delivery,
     checkpoints: str,
@@ -66,12 +99,23 @@ def start_pipeline(
     lateness: str = LATENESS,
     tables: Iterable[str] = (RAW, *(t.name for t in METRIC_TABLES)),
 ) -> dict[str, StreamingQuery]:
-    """Start the raw copy and the metrics over one message source.
+    """Start the raw copy and the metrics over one message source."""
+    return start_parsed(parse_events(messages), delivery, checkpoints, schedule, lateness, tables)
+
+
+def start_parsed(
+    parsed: DataFrame,
+    delivery: Delivery,
+    checkpoints: str,
+    schedule: Schedule = Schedule(),
+    lateness: str = LATENESS,
+    tables: Iterable[str] = (RAW, *(t.name for t in METRIC_TABLES)),
+) -> dict[str, StreamingQuery]:
+    """The same over parsed events, such as landed ones.
 
     Raw rows have no watermark: late ones are stored and corrupt ones become dead
     letters. Metrics take readable rows only.
     """
-    parsed = parse_events(messages)
     running = {}
     for table in tables:
         rows = parsed if table == RAW else metric_stream(readable(parsed), table, lateness)

@@ -30,7 +30,7 @@ def test_bus_write_options():
 def test_relational_options():
     connection = Connection("jdbc:x:y", "x.Driver", "me", extra=(outlets.TEXT_AS_UUID,))
     assert connection.properties() == {"driver": "x.Driver", "user": "me", "stringtype": "unspecified"}
-    assert tables.scan_options("t") == {"dbtable": "t", "fetchsize": "10000"}
+    assert tables.scan_options("t") == {"dbtable": "t", "fetchsize": "10000", "preferTimestampNTZ": "true"}
     split = tables.scan_options("t", Split("id", "0", "100", 8))
     assert split["partitionColumn"] == "id" and split["numPartitions"] == "8"
     assert outlets.write_options("t", max_connections=4)["numPartitions"] == "4"
@@ -60,6 +60,28 @@ def test_rows_a_store_has_already_are_recognised(spark):
     assert outlets.unseen_rows(again.limit(0), stored, STREAM_EVENTS).count() == 0
 
 
+class Kept(outlets.RelationalStore):
+    """The appended rows in memory in place of a database."""
+
+    def __init__(self, spark):
+        super().__init__(Connection("jdbc:none", "none"))
+        self.rows = events(spark, [])
+
+    def read(self, spark, table, other_than_batch=None, since=None):
+        return self.rows
+
+    def _append(self, rows, table):
+        self.rows = self.rows.unionByName(rows)
+
+
+def test_a_repeated_relational_write_adds_only_what_is_missing(spark):
+    store = Kept(spark)
+    store.write(events(spark, [event(1), event(2)]), STREAM_EVENTS, 0)
+    store.write(events(spark, [event(2), event(3)]), STREAM_EVENTS, 0)
+    store.write(events(spark, []), STREAM_EVENTS, 1)
+    assert rows(store.rows, "event_id") == [("ev-1",), ("ev-2",), ("ev-3",)]
+
+
 def test_working_folder(spark):
     assert run_folder(spark, "x") != run_folder(spark, "x")
     assert run_folder(spark, "x").startswith(shared_folder(spark))

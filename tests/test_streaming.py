@@ -11,12 +11,12 @@ from playstream.session import streaming_session
 from playstream.sinks import outlets
 from playstream.sinks.store import FileStore
 from playstream.sources import bus
-from playstream.streaming import pipeline
+from playstream.streaming import job
 from playstream.streaming.delivery import Delivery
 from tests.helpers import dimensions, event, events, rows
 
 AT = datetime(2024, 1, 31)
-DRAIN = pipeline.Schedule(drain=True)
+DRAIN = job.Schedule(drain=True)
 
 
 @pytest.fixture(scope="module")
@@ -39,8 +39,8 @@ def write_file(spark, folder, name, *items):
 def run(streams, folder, store, checkpoints, tables, delivery=None, per_batch=1):
     delivery = delivery or Delivery(store, dimensions=dimensions, clock=lambda: AT)
     source = bus.message_files_stream(streams, str(folder), files_per_batch=per_batch)
-    running = pipeline.start_pipeline(source, delivery, str(checkpoints), DRAIN, tables=tables)
-    pipeline.await_all(running.values())
+    running = job.start_all(source, delivery, str(checkpoints), DRAIN, tables=tables)
+    job.await_all(running.values())
     return running
 
 
@@ -84,6 +84,39 @@ def test_bad_rows_become_dead_letters_and_restart_adds_nothing(streams, tmp_path
     assert store.read(streams, STREAM_EVENTS).count() == 3
 
 
+def test_landed_events_give_the_same_tables(streams, tmp_path):
+    inbox = tmp_path / "in"
+    write_file(streams, inbox, "1.json", event(1, time="2024-01-01 00:00:10"), "{bad", event(2, user=901))
+    write_file(streams, inbox, "2.json", event(3, time="2024-01-01 01:00:00.123456", is_liked=True))
+    direct, landed = FileStore(str(tmp_path / "a")), FileStore(str(tmp_path / "b"))
+    tables = ["stream_events", "user_engagement_metrics"]
+    run(streams, inbox, direct, tmp_path / "cpa", tables)
+    folder = str(tmp_path / "landing")
+    source = bus.message_files_stream(streams, str(inbox))
+    job.start_landing(source, folder, str(tmp_path / "cpb"), DRAIN).awaitTermination()
+    delivery = Delivery(landed, dimensions=dimensions, clock=lambda: AT)
+    parsed = job.landed_events(streams, folder, files_per_batch=1)
+    job.await_all(job.start_parsed(parsed, delivery, str(tmp_path / "cpb"), DRAIN, tables=tables).values())
+    for name in tables:
+        assert rows(landed.read(streams, TABLES[name])) == rows(direct.read(streams, TABLES[name]))
+    assert landed.read_dead_letters(streams, "stream_events").count() == 2
+
+
+class Box:
+    def __init__(self):
+        self.seen = []
+
+    def write_dead_letters(self, letters, table, batch):
+        self.seen += [(table, batch, r.value) for r in letters.collect()]
+
+
+def test_dead_letters_can_go_elsewhere(spark, tmp_path):
+    box = Box()
+    delivery = Delivery(FileStore(str(tmp_path)), dimensions, letters=box)
+    delivery.deliver(events(spark, [event(1, song=44), event(2)]), 3, STREAM_EVENTS)
+    assert [(table, batch) for table, batch, _ in box.seen] == [("stream_events", 3)]
+
+
 def test_a_replayed_batch_replaces_itself(spark, tmp_path):
     store = FileStore(str(tmp_path))
     delivery = Delivery(store, dimensions=dimensions, clock=lambda: AT)
@@ -93,6 +126,8 @@ def test_a_replayed_batch_replaces_itself(spark, tmp_path):
     delivery.deliver(events(spark, [event(4)]), 6, STREAM_EVENTS)
     assert rows(store.read(spark, STREAM_EVENTS), "event_id") == [("ev-1",), ("ev-2",), ("ev-4",)]
     assert store.read_dead_letters(spark, "stream_events").count() == 1
+    recent = store.read(spark, STREAM_EVENTS, since=datetime(2024, 1, 30, 0, 0))
+    assert rows(recent, "event_id") == [("ev-1",), ("ev-4",)]
     one_day = store.read_period(spark, STREAM_EVENTS, "2024-01-29", "2024-01-29")
     assert rows(one_day, "event_id") == [("ev-2",)]
     plan = one_day._jdf.queryExecution().executedPlan().toString()
@@ -154,11 +189,11 @@ def test_running_queries_are_listed(streams, tmp_path):
     write_file(streams, inbox, "1.json", event(1))
     source = bus.message_files_stream(streams, str(inbox))
     delivery = Delivery(FileStore(str(tmp_path / "store")), dimensions)
-    running = pipeline.start_pipeline(
-        source, delivery, str(tmp_path / "cp"), pipeline.Schedule(every="1 second"), tables=["stream_events"]
+    running = job.start_all(
+        source, delivery, str(tmp_path / "cp"), job.Schedule(every="1 second"), tables=["stream_events"]
     )
-    assert [name for _, name in pipeline.active_queries(streams)] == ["stream_events"]
+    assert [name for _, name in job.active_queries(streams)] == ["stream_events"]
     for query in running.values():
         query.processAllAvailable()
         query.stop()
-    assert pipeline.active_queries(streams) == []
+    assert job.active_queries(streams) == []
