@@ -360,6 +360,9 @@ PIPELINE = {
         "content_performance_metrics", "1 MINUTE", ("song_id", "songs"), ("artist_id", "artists")
     ),
     "stream_device": _closed("device_metrics", "1 MINUTE", ("device_id", "devices")),
+    "stream_hourly_measures": "SELECT * EXCLUDE (unique_users, unique_songs, unique_artists) FROM ("
+    + _closed("hourly_metrics", "1 HOUR")
+    + ") AS closed",
     # Sketches of so few values per window and place count exactly.
     "stream_location": _closed("location_metrics", "1 MINUTE", ("location_id", "locations")),
     "stream_raw_events": f"FROM stream_events WHERE NOT ({ANY_BROKEN})",
@@ -431,6 +434,27 @@ FURTHER = {
         FROM stream_events JOIN locations USING (location_id) GROUP BY region""",
 }
 
+# The larger fact, under the name of the fact table.
+ORDER_EVENTS = """
+    SELECT 'li-' || l_orderkey || '-' || l_linenumber AS event_id, CAST(o_custkey AS INT) AS user_id,
+           CAST(l_partkey AS INT) AS song_id, CAST(l_suppkey AS INT) AS artist_id,
+           CAST(5 * (l_partkey // 5) AS INT) AS album_id, l_linenumber AS device_id,
+           CAST(l_orderkey % 25 AS INT) AS location_id, l_shipdate AS "timestamp",
+           CAST(floor(l_quantity) AS INT) AS stream_duration_seconds, l_linestatus = 'F' AS is_complete_play,
+           l_returnflag = 'R' AS is_skipped, l_returnflag = 'A' AS is_liked, l_linenumber = 1 AS is_shared,
+           l_linenumber = 7 AS is_added_to_playlist
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+VOLUME = {
+    "volume_user_engagement": "SELECT * FROM user_engagement_metrics",
+    "volume_hourly": "SELECT * FROM hourly_metrics",
+    "volume_top_songs": BUSINESS["top_songs"],
+    "volume_activity_by_subscription": BUSINESS["activity_by_subscription"],
+    "volume_engagement_by_age_group": BUSINESS["engagement_by_age_group"],
+    "volume_popular_genres_by_region": FURTHER["popular_genres_by_region"],
+    "volume_orphan_counts": BUSINESS["orphan_counts"],
+    "volume_user_summary": FURTHER["user_summary"],
+}
+
 
 def oracle_sql() -> dict[str, str]:
     found = {name: _query(f"SELECT * FROM {name}") for name in METRIC_NAMES}
@@ -438,6 +462,7 @@ def oracle_sql() -> dict[str, str]:
     found["trending_songs"] = TRENDING
     found |= {name: _query(body) for name, body in DASHBOARD.items()}
     found |= {name: _query(body) for name, body in (FURTHER | PIPELINE).items()}
+    found |= {name: _query(body, stream_events=ORDER_EVENTS) for name, body in VOLUME.items()}
     for name in ("dead_letter_rows", "stream_dead_letters"):
         found[name] = _query(LETTERS, invalid_rows=INVALID)
     return found

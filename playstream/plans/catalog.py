@@ -161,6 +161,19 @@ named("users_by_country")(lambda s: further.users_by_country(s.stream_events, s.
 named("activity_by_region")(lambda s: further.activity_by_region(s.stream_events, s.locations))
 
 
+# The same reports over the larger fact.
+named("volume_user_engagement")(lambda s: metrics.windowed(s.order_events, "user_engagement_metrics"))
+named("volume_hourly")(lambda s: metrics.windowed(s.order_events, "hourly_metrics"))
+named("volume_top_songs")(lambda s: business.top_songs(s.order_events, s.songs, s.artists))
+named("volume_activity_by_subscription")(lambda s: business.activity_by_subscription(s.order_events, s.users))
+named("volume_engagement_by_age_group")(lambda s: business.engagement_by_age_group(s.order_events, s.users))
+named("volume_popular_genres_by_region")(
+    lambda s: further.popular_genres_by_region(s.order_events, s.songs, s.locations)
+)
+named("volume_orphan_counts")(lambda s: quality.orphan_counts(s.order_events, s.dimensions()))
+named("volume_user_summary")(lambda s: further.user_summary(s.order_events, s.users))
+
+
 # Pipeline operators.
 CHANGE_FIELDS = ("user_id", "device_id", "location_id", "timestamp", "is_skipped")
 
@@ -299,6 +312,11 @@ def _streamed(s: StarSchema, table: str) -> FileStore:
 for _name, _table in STREAMS.items():
     named(_name)(lambda s, table=_table: _streamed(s, table).read(s.spark, model.TABLES[table]))
 
+named("stream_hourly_measures")(
+    lambda s: _streamed(s, "hourly_metrics")
+    .read(s.spark, model.HOURLY_METRICS)
+    .drop("unique_users", "unique_songs", "unique_artists")
+)
 named("stream_dead_letters")(
     lambda s: _streamed(s, "stream_events").read_dead_letters(s.spark, "stream_events")
 )

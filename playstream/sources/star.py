@@ -188,6 +188,29 @@ class StarSchema:
             self._size(self._album_parts),
         )
 
+    @cached_property
+    def order_events(self) -> DataFrame:
+        """A larger fact of the same columns: one play per order line."""
+        lines = self.supplied("lineitem").join(self.supplied("orders"), F.expr("l_orderkey = o_orderkey"))
+        return _shaped(
+            lines,
+            model.STREAM_EVENTS,
+            event_id="concat('li-', l_orderkey, '-', l_linenumber)",
+            user_id="o_custkey",
+            song_id="l_partkey",
+            artist_id="l_suppkey",
+            album_id="l_partkey - l_partkey % 5",
+            device_id="l_linenumber",
+            location_id="l_orderkey % 25",
+            timestamp="l_shipdate",
+            stream_duration_seconds="floor(l_quantity)",
+            is_complete_play="l_linestatus = 'F'",
+            is_skipped="l_returnflag = 'R'",
+            is_liked="l_returnflag = 'A'",
+            is_shared="l_linenumber = 1",
+            is_added_to_playlist="l_linenumber = 7",
+        )
+
     def stream_events_unbounded(self) -> DataFrame:
         """The same events read as a stream of files.
 
