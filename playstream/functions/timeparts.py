@@ -21,6 +21,11 @@ def before(column: str, as_of: datetime, back: timedelta = timedelta(0)) -> Colu
     return F.col(column) < moment(as_of - back)
 
 
+def window_start(column: str, width: str) -> Column:
+    """Start of the epoch-aligned window a time falls in."""
+    return F.window(column, width).getField("start")
+
+
 def flatten_window(df: DataFrame, bucket: str = "bucket") -> DataFrame:
     """Replace a window struct by its start, first, as ``time_window``."""
     others = [c for c in df.columns if c != bucket]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playstream.functions.measures import row_count
+from playstream.functions.timeparts import window_start
 
 
 def listening_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
@@ -19,7 +20,7 @@ def listening_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     gap = f"{gap_minutes} minutes"
     runs = (
         events.where(F.col("user_id").isNotNull())
-        .groupBy("user_id", F.window("timestamp", gap).alias("bucket"))
+        .groupBy("user_id", window_start("timestamp", gap).alias("bucket"))
         .agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), row_count().alias("plays"))
         .select("user_id", "first", "last", "plays")
     )

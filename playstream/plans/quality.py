@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from playstream import model
 from playstream.functions.measures import row_count
+from playstream.functions.timeparts import window_start
 from playstream.operators.integrity import broken_keys
 
 
@@ -56,15 +57,14 @@ def metrics_reconciliation(
     each count is handed to the windows that cover it, so the join has equal
     keys only and its input is at most a few rows per user and minute.
     """
-    minute = F.window("timestamp", "1 minute").start
+    minute = window_start("timestamp", "1 minute")
     counted = (
         events.where(F.col("user_id").isNotNull())
-        .groupBy("user_id", F.window("timestamp", "1 minute").alias("bucket"))
+        .groupBy(minute.alias("minute"), "user_id")
         .agg(
             row_count().alias("in_minute"),
             F.count_if(F.col("timestamp") == minute).alias("at_start"),
         )
-        .select("user_id", F.col("bucket.start").alias("minute"), "in_minute", "at_start")
     )
     last = minutes if inclusive else minutes - 1
     shares = F.when(F.col("back") < minutes, F.col("in_minute")).otherwise(F.col("at_start"))
@@ -76,13 +76,13 @@ def metrics_reconciliation(
             shares.alias("events"),
         )
         .where(F.col("events") > 0)
-        .groupBy("user_id", "time_window")
+        .groupBy("time_window", "user_id")
         .agg(F.sum("events").alias("calculated_stream_count"))
     )
     difference = F.abs(F.col("metrics_stream_count") - F.col("calculated_stream_count"))
     report = (
         metrics.select("user_id", "time_window", F.col("stream_count").alias("metrics_stream_count"))
-        .join(recounted, ["user_id", "time_window"])
+        .join(recounted, ["time_window", "user_id"])
         .withColumn("count_difference", difference)
         .where(F.col("count_difference") > 0)
     )
