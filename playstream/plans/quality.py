@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playstream import model
@@ -42,6 +42,11 @@ def orphan_counts(
     )
 
 
+def _minute_number(time: str) -> Column:
+    """Whole minutes since 1970 of a zone-free time."""
+    return F.expr(f"datediff({time}, DATE'1970-01-01') * 1440 + hour({time}) * 60 + minute({time})")
+
+
 def metrics_reconciliation(
     metrics: DataFrame, events: DataFrame, minutes: int = 5, inclusive: bool = True, n: int | None = 10
 ) -> DataFrame:
@@ -53,41 +58,40 @@ def metrics_reconciliation(
     ``inclusive=False`` is the exact check.
 
     Joining windows with events on the user alone would pair every window with
-    every event of a hot user. Events are counted per user and minute first and
-    each count is handed to the windows that cover it, so the join has equal
-    keys only and its input is at most a few rows per user and minute.
+    every event of a hot user. Here events are counted per user and minute, put
+    in line with the metric rows, and each metric row adds up the minutes that
+    follow it. The line is cut into stretches of hours, so that no user's rows
+    have to be in one task; minutes at the start of a stretch are also given to
+    the one before, which looks that far ahead.
     """
+    stretch = 60 * -(-minutes // 60)
     minute = window_start("timestamp", "1 minute")
     counted = (
         events.where(F.col("user_id").isNotNull())
-        .groupBy(minute.alias("minute"), "user_id")
-        .agg(
-            row_count().alias("in_minute"),
-            F.count_if(F.col("timestamp") == minute).alias("at_start"),
-        )
+        .groupBy(minute.alias("at"), "user_id")
+        .agg(row_count().alias("in_minute"), F.count_if(F.col("timestamp") == minute).alias("at_start"))
+        .select("user_id", _minute_number("at").alias("slot"), "in_minute", "at_start")
     )
-    last = minutes if inclusive else minutes - 1
-    shares = F.when(F.col("back") < minutes, F.col("in_minute")).otherwise(F.col("at_start"))
-    recounted = (
-        counted.withColumn("back", F.explode(F.sequence(F.lit(0), F.lit(last))))
-        .select(
-            "user_id",
-            (F.col("minute") - F.make_dt_interval(mins=F.col("back"))).alias("time_window"),
-            shares.alias("events"),
-        )
-        .where(F.col("events") > 0)
-        .groupBy("time_window", "user_id")
-        .agg(F.sum("events").alias("calculated_stream_count"))
+    own = F.expr(f"slot div {stretch}")
+    ahead = F.when(F.col("slot") % stretch <= minutes, own - 1)
+    counted = counted.withColumn("part", F.explode(F.array_compact(F.array(own, ahead))))
+    claimed = (
+        metrics.where(F.col("user_id").isNotNull())
+        .select("user_id", _minute_number("time_window").alias("slot"), F.col("stream_count").alias("metrics_stream_count"))
+        .withColumn("part", own)
     )
-    difference = F.abs(F.col("metrics_stream_count") - F.col("calculated_stream_count"))
+    line = Window.partitionBy("user_id", "part").orderBy("slot")
+    recount = F.coalesce(F.sum("in_minute").over(line.rangeBetween(0, minutes - 1)), F.lit(0))
+    if inclusive:
+        recount += F.coalesce(F.sum("at_start").over(line.rangeBetween(minutes, minutes)), F.lit(0))
     report = (
-        metrics.select("user_id", "time_window", F.col("stream_count").alias("metrics_stream_count"))
-        .join(recounted, ["time_window", "user_id"])
-        .withColumn("count_difference", difference)
-        .where(F.col("count_difference") > 0)
+        counted.unionByName(claimed, allowMissingColumns=True)
+        .withColumn("calculated_stream_count", recount)
+        .withColumn("count_difference", F.abs(F.col("metrics_stream_count") - F.col("calculated_stream_count")))
+        .where((F.col("count_difference") > 0) & (F.col("calculated_stream_count") > 0))
     )
     if n is not None:
-        report = report.orderBy("user_id", "time_window").limit(n)
+        report = report.orderBy("user_id", "slot").limit(n)
     return report.select("user_id", "metrics_stream_count", "calculated_stream_count", "count_difference")
 
 

@@ -40,18 +40,25 @@ def literal_reconciliation(spark, metric, plays, minutes, inclusive):
     )
 
 
-@pytest.mark.parametrize("minutes, inclusive", [(5, True), (5, False), (1, True), (1, False), (3, True)])
+@pytest.mark.parametrize(
+    "minutes, inclusive", [(5, True), (5, False), (1, True), (1, False), (3, True), (60, True), (75, True), (75, False)]
+)
 def test_reconciliation_equals_the_range_join(spark, minutes, inclusive):
-    times = ["00:00:00", "00:00:30", "00:01:00", "00:04:59.999999", "00:05:00", "00:05:00.000001", "00:06:00", "00:11:00"]
+    times = (
+        "00:00:00 00:00:30 00:01:00 00:04:59.999999 00:05:00 00:05:00.000001 00:06:00 00:11:00 "
+        "00:58:10 00:59:59.999999 01:00:00 01:03:00 01:04:00 01:05:00 01:14:00 02:00:00 03:15:00 23:59:59"
+    ).split()
+    stamps = [f"2024-01-01 {t}" for t in times] + ["2024-01-02 00:00:00", "2024-01-02 00:04:00"]
     df = events(
-        spark,
-        [event(n, user=u, time=f"2024-01-01 {t}") for n, (u, t) in enumerate((u, t) for u in (1, 2, None) for t in times)],
+        spark, [event(n, user=u, time=t) for n, (u, t) in enumerate((u, t) for u in (1, 2, None) for t in stamps)]
     )
-    metric = metrics.windowed(df, "user_engagement_metrics")
-    # A metric row that is wrong, and one without any event.
-    wrong = metric.selectExpr("time_window", "user_id", "stream_count + CASE WHEN user_id = 2 THEN 1 ELSE 0 END AS stream_count")
-    got = quality.metrics_reconciliation(wrong, df, minutes, inclusive, n=None)
-    assert rows(got) == rows(literal_reconciliation(spark, wrong, df, minutes, inclusive))
+    metric = metrics.windowed(df, "user_engagement_metrics").select("time_window", "user_id", "stream_count")
+    # Metric rows that are wrong, and some of minutes without any event.
+    wrong = metric.selectExpr("time_window", "user_id", "stream_count + if(user_id = 2, 1, 0) AS stream_count")
+    idle = metric.selectExpr("time_window - INTERVAL 2 MINUTES AS time_window", "user_id", "7L AS stream_count")
+    claimed = wrong.unionByName(idle.join(wrong, ["time_window", "user_id"], "left_anti").distinct())
+    got = quality.metrics_reconciliation(claimed, df, minutes, inclusive, n=None)
+    assert rows(got) == rows(literal_reconciliation(spark, claimed, df, minutes, inclusive))
 
 
 def test_exact_reconciliation_of_right_metrics_is_empty(star):
