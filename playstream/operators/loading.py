@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -45,18 +46,25 @@ def current_rows(messages: DataFrame, table: Table, order: str = "offset") -> Da
 def load_table(
     messages: DataFrame, table: Table, store: FileStore, batch: int, at: datetime, order: str = "offset"
 ) -> LoadResult:
-    """Store the keys not stored yet. One write of rows, one of rejects."""
+    """Store the keys not stored yet; reject what fails the checks.
+
+    The checked rows are kept for the two writes, so the changelog is read and
+    compacted once.
+    """
     spark = messages.sparkSession
     incoming = current_rows(messages, table, order)
     existing = store.read(spark, table, other_than_batch=batch)
     fresh = new_rows(incoming, existing, table.primary_key)
     parents = {r.parent: store.read(spark, _dimension(r.parent)) for r in table.references}
     broken = broken_keys(fresh, parents, table.references) if parents else None
-    checked = with_reasons(fresh, table, broken)
-    seen = Observation(f"load_{table.name}_{batch}")
-    store.write(valid(checked).observe(seen, F.count(F.lit(1)).alias("loaded")), table, batch)
-    store.write_dead_letters(to_dead_letters(invalid(checked), table.name, batch, at), table.name, batch)
-    return LoadResult(table.name, seen.get["loaded"])
+    checked = with_reasons(fresh, table, broken).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        seen = Observation(f"load_{table.name}_{batch}")
+        store.write(valid(checked).observe(seen, F.count(F.lit(1)).alias("loaded")), table, batch)
+        store.write_dead_letters(to_dead_letters(invalid(checked), table.name, batch, at), table.name, batch)
+        return LoadResult(table.name, seen.get["loaded"])
+    finally:
+        checked.unpersist()
 
 
 def _dimension(name: str) -> Table:
