@@ -1,6 +1,6 @@
 """Time the plans used here against row-by-row joins, on a fact with hot keys.
 
-    python -m checks.formulations [--times 10]
+    python -m playstream.checks.formulations [--times 10]
 
 The fact is the order-line fact repeated ``times`` times, with every third row
 moved to one user, one song and one location. Broadcasting is switched off, as
@@ -19,7 +19,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 from playstream.model import STREAM_EVENTS  # noqa: E402
 from playstream.plans import business, metrics, quality  # noqa: E402

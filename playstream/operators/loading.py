@@ -48,23 +48,23 @@ def load_table(
 ) -> LoadResult:
     """Store the keys not stored yet; reject what fails the checks.
 
-    The checked rows are kept for the two writes, so the changelog is read and
-    compacted once.
+    The new rows are kept for the check and the two writes, so the changelog is
+    read and compacted once.
     """
     spark = messages.sparkSession
     incoming = current_rows(messages, table, order)
     existing = store.read(spark, table, other_than_batch=batch)
-    fresh = new_rows(incoming, existing, table.primary_key)
+    fresh = new_rows(incoming, existing, table.primary_key).persist(StorageLevel.MEMORY_AND_DISK)
     parents = {r.parent: store.read(spark, _dimension(r.parent)) for r in table.references}
     broken = broken_keys(fresh, parents, table.references) if parents else None
-    checked = with_reasons(fresh, table, broken).persist(StorageLevel.MEMORY_AND_DISK)
+    checked = with_reasons(fresh, table, broken)
     try:
         seen = Observation(f"load_{table.name}_{batch}")
         store.write(valid(checked).observe(seen, F.count(F.lit(1)).alias("loaded")), table, batch)
         store.write_dead_letters(to_dead_letters(invalid(checked), table.name, batch, at), table.name, batch)
         return LoadResult(table.name, seen.get["loaded"])
     finally:
-        checked.unpersist()
+        fresh.unpersist()
 
 
 def _dimension(name: str) -> Table:

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from checks.compare import compare, supplied_views
+from playstream.checks.compare import compare, supplied_views
 from tests.conftest import SMALL
 
 
