@@ -9,7 +9,6 @@ from typing import Protocol
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from playstream.model import Table
 from playstream.operators.deadletter import to_dead_letters

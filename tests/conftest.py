@@ -8,9 +8,8 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(
-        "tests", "local[8]", 8, {"spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"}
-    )
+    quiet = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"}
+    session = build_session("tests", "local[8]", 8, quiet)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -63,9 +63,8 @@ def test_a_late_row_is_dropped_from_metrics_and_kept_raw(streams, tmp_path):
 
 def test_bad_rows_become_dead_letters_and_restart_adds_nothing(streams, tmp_path):
     inbox, store = tmp_path / "in", FileStore(str(tmp_path / "store"))
-    write_file(
-        streams, inbox, "1.json", event(1), event(2, user=901), event(3, user=902), event(4, user=None), "{bad", event(5, time=None)
-    )
+    bad_keys = [event(2, user=901), event(3, user=902)]
+    write_file(streams, inbox, "1.json", event(1), *bad_keys, event(4, user=None), "{bad", event(5, time=None))
     run(streams, inbox, store, tmp_path / "cp", ["stream_events"])
     for _ in range(2):  # the second run finds nothing new
         assert rows(store.read(streams, STREAM_EVENTS), "event_id") == [("ev-1",), ("ev-4",)]
