@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playstream.llm import simhash
+from playstream.llm import bpe, gam, quality_rules, simhash
 from playstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,20 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"))
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return gam.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op1_simhash_near_dedup, op3_bpe_round_trip, op6_quality_rules, op7_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
