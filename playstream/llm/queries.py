@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playstream.llm import bpe, gam, quality_rules, simhash
+from playstream.llm import bpe, gam, mixing, pii, quality_rules, simhash
 from playstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,9 +28,27 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return gam.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(table(spark, folder, "documents"))
+
+
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.report(table(spark, folder, "documents"))
+
+
+REGISTERED = (
+    op1_simhash_near_dedup,
+    op3_bpe_round_trip,
+    op5_pii_pseudonyms,
+    op6_quality_rules,
+    op7_quality_classifier,
+    op9_source_mixing,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup, op3_bpe_round_trip, op6_quality_rules, op7_quality_classifier)}
+    return {f.__name__: f for f in REGISTERED}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_source_mixing": mixing.report_sql()}
