@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playstream.llm import bpe, gam, mixing, pii, quality_rules, simhash
+from playstream.llm import bpe, gam, language_id, mixing, pii, quality_rules, simhash, url_filter
 from playstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,17 +32,27 @@ def op5_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"))
+
+
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.report(table(spark, folder, "documents"))
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.languages(table(spark, folder, "documents"))
+
+
 REGISTERED = (
     op1_simhash_near_dedup,
     op3_bpe_round_trip,
     op5_pii_pseudonyms,
     op6_quality_rules,
     op7_quality_classifier,
+    op8_url_filter,
     op9_source_mixing,
+    op10_language_id,
 )
 
 
@@ -51,4 +61,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_source_mixing": mixing.report_sql()}
+    return {"op8_url_filter": url_filter.judge_sql(), "op9_source_mixing": mixing.report_sql()}
