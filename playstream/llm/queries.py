@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playstream.llm import bpe, gam, language_id, mixing, pii, quality_rules, simhash, url_filter
+from playstream.llm import bpe, embeddings, gam, language_id, mixing, pii, quality_rules, simhash, url_filter
 from playstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return gam.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op5_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
 
@@ -47,6 +51,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 REGISTERED = (
     op1_simhash_near_dedup,
     op3_bpe_round_trip,
+    op4_embedding_near_dedup,
     op5_pii_pseudonyms,
     op6_quality_rules,
     op7_quality_classifier,
@@ -61,4 +66,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filter": url_filter.judge_sql(), "op9_source_mixing": mixing.report_sql()}
+    return {
+        "op4_embedding_near_dedup": embeddings.near_duplicates_sql(),
+        "op8_url_filter": url_filter.judge_sql(),
+        "op9_source_mixing": mixing.report_sql(),
+    }
