@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playstream.llm import bpe, embeddings, gam, language_id, mixing, pii, quality_rules, simhash, url_filter
+from playstream.llm import bpe, embeddings, gam, language_id, mixing, pii, quality_rules, repeats, simhash, url_filter
 from playstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.report(table(spark, folder, "documents"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"))
 
@@ -50,6 +54,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTERED = (
     op1_simhash_near_dedup,
+    op2_repeated_passages,
     op3_bpe_round_trip,
     op4_embedding_near_dedup,
     op5_pii_pseudonyms,
