@@ -26,7 +26,7 @@ TABLES = {
                CAST(DATE '2014-01-01' + CAST(p_partkey * 13 % 3650 AS INT) AS DATE) AS release_date,
                CAST(5 + p_partkey % 11 AS INT) AS total_tracks,
                ['LP', 'EP', 'Single', 'Compilation'][CAST(p_partkey % 4 AS INT) + 1] AS album_type
-        FROM part WHERE p_partkey % 5 = 0""",
+        FROM part""",
     "songs": """
         SELECT CAST(p_partkey AS INT) AS song_id, p_name AS title,
                CAST(120 + p_size * 6 AS INT) AS duration_seconds,
@@ -40,7 +40,7 @@ TABLES = {
                ['iOS', 'Android', 'Windows', 'macOS', 'Linux'][CAST(s_suppkey % 5 AS INT) + 1] AS os,
                ['Safari', 'Chrome', 'Edge', 'Firefox', 'N/A'][CAST(s_suppkey % 5 AS INT) + 1] AS browser,
                (1 + s_suppkey % 5) || '.' || (s_suppkey % 10) || '.0' AS app_version
-        FROM supplier WHERE s_suppkey < 10""",
+        FROM supplier""",
     "locations": """
         SELECT n_nationkey AS location_id, n_name AS country, r_name AS region,
                'City_' || n_nationkey AS city, 'Zone_' || n_regionkey AS timezone
@@ -50,8 +50,8 @@ TABLES = {
                CAST(CASE WHEN event_id % 101 = 0 THEN NULL ELSE user_id END AS INT) AS user_id,
                CAST(event_id * 37 % ((SELECT count(*) FROM part) + 4) AS INT) AS song_id,
                CAST(event_id * 17 % ((SELECT count(*) FROM supplier) + 1) AS INT) AS artist_id,
-               CAST(5 * (event_id * 19 % ((SELECT count(*) FROM albums) + 2)) AS INT) AS album_id,
-               CAST(event_id % 11 AS INT) AS device_id,
+               CAST(event_id * 19 % ((SELECT count(*) FROM part) + 2) AS INT) AS album_id,
+               CAST(event_id * 29 % ((SELECT count(*) FROM supplier) + 1) AS INT) AS device_id,
                CAST(event_id * 3 % 26 AS INT) AS location_id,
                ts AS "timestamp",
                CAST(floor(value) AS INT) AS stream_duration_seconds,
@@ -336,6 +336,17 @@ def _closed(metric: str, width: str, *references: tuple[str, str]) -> str:
     return f"SELECT * FROM {metric} WHERE time_window + INTERVAL {width} <= {CLOSED_BY}{known}"
 
 
+def _sketched(closed: str, *columns: str) -> str:
+    """Streamed sketches have to lie within their error of these exact counts."""
+    flags = ", ".join(f"true AS {c}_within_error" for c in columns)
+    return f"SELECT * EXCLUDE ({', '.join(columns)}), {flags} FROM ({closed}) AS closed"
+
+
+# Rows of the first days that come with a later batch are too late for their windows.
+IN_TIME = f"""
+    SELECT * FROM ({TABLES["stream_events"]}) AS arrived
+    WHERE NOT (event_id LIKE '%7' AND "timestamp" < TIMESTAMP '2024-01-06 00:00:00')"""
+
 PIPELINE = {
     "parse_events": "SELECT * FROM stream_events",
     "parse_dimensions": """
@@ -363,9 +374,14 @@ PIPELINE = {
     "stream_hourly_measures": "SELECT * EXCLUDE (unique_users, unique_songs, unique_artists) FROM ("
     + _closed("hourly_metrics", "1 HOUR")
     + ") AS closed",
-    # Sketches of so few values per window and place count exactly.
-    "stream_location": _closed("location_metrics", "1 MINUTE", ("location_id", "locations")),
+    "stream_hourly": _sketched(
+        _closed("hourly_metrics", "1 HOUR"), "unique_users", "unique_songs", "unique_artists"
+    ),
+    "stream_location": _sketched(
+        _closed("location_metrics", "1 MINUTE", ("location_id", "locations")), "unique_users", "unique_songs"
+    ),
     "stream_raw_events": f"FROM stream_events WHERE NOT ({ANY_BROKEN})",
+    "stream_repeated_events": f"FROM stream_events WHERE NOT ({ANY_BROKEN})",
     "replayed_dead_letters": f"""
         FROM stream_events WHERE ({ANY_BROKEN})
         AND NOT ({' OR '.join(_is_broken(k, d) for k, d in REFERENCES if d not in ('devices', 'locations'))})""",
@@ -438,7 +454,7 @@ FURTHER = {
 ORDER_EVENTS = """
     SELECT 'li-' || l_orderkey || '-' || l_linenumber AS event_id, CAST(o_custkey AS INT) AS user_id,
            CAST(l_partkey AS INT) AS song_id, CAST(l_suppkey AS INT) AS artist_id,
-           CAST(5 * (l_partkey // 5) AS INT) AS album_id, l_linenumber AS device_id,
+           CAST(l_partkey AS INT) AS album_id, l_linenumber AS device_id,
            CAST(l_orderkey % 25 AS INT) AS location_id, l_shipdate AS "timestamp",
            CAST(floor(l_quantity) AS INT) AS stream_duration_seconds, l_linestatus = 'F' AS is_complete_play,
            l_returnflag = 'R' AS is_skipped, l_returnflag = 'A' AS is_liked, l_linenumber = 1 AS is_shared,
@@ -463,6 +479,7 @@ def oracle_sql() -> dict[str, str]:
     found |= {name: _query(body) for name, body in DASHBOARD.items()}
     found |= {name: _query(body) for name, body in (FURTHER | PIPELINE).items()}
     found |= {name: _query(body, stream_events=ORDER_EVENTS) for name, body in VOLUME.items()}
+    found["stream_late_rows"] = _query(PIPELINE["stream_hourly_measures"], stream_events=IN_TIME)
     for name in ("dead_letter_rows", "stream_dead_letters"):
         found[name] = _query(LETTERS, invalid_rows=INVALID)
     return found

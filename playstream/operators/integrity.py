@@ -17,10 +17,6 @@ MISSING = "Missing required value: "
 VIOLATION = "Foreign key violation: "
 
 
-# Broken keys of one reference are broadcast up to this many (a few MB).
-BROADCAST_KEYS = 100_000
-
-
 def used_keys(rows: DataFrame, references: Sequence[Reference]) -> DataFrame:
     """(reference, key, rows) for every key in use, NULL keys left out.
 
@@ -57,11 +53,11 @@ def broken_sizes(broken: DataFrame) -> dict[str, int]:
     return {r["reference"]: r["count"] for r in broken.groupBy("reference").count().collect()}
 
 
-def _mark(rows: DataFrame, broken: DataFrame, ref: Reference, small: bool) -> DataFrame:
+def _mark(rows: DataFrame, broken: DataFrame, ref: Reference) -> DataFrame:
     keys = broken.where(F.col("reference") == ref.column).selectExpr(
         f"key AS {ref.column}", f"true AS _broken_{ref.column}"
     )
-    return rows.join(F.broadcast(keys) if small else keys, ref.column, "left")
+    return rows.join(keys, ref.column, "left")
 
 
 def with_reasons(
@@ -69,10 +65,9 @@ def with_reasons(
 ) -> DataFrame:
     """Add ``_reasons``, the list of why a row cannot be stored (empty if it can).
 
-    ``sizes`` are the counted broken keys. References without any need no join,
-    and few keys are broadcast, so the rows are not shuffled. Beyond that, or
-    without counts, Spark joins by known table size and splits the partitions of
-    a hot key while it runs.
+    ``sizes`` are the counted broken keys; references without any need no join.
+    For the others Spark chooses by the size of the held keys, and splits the
+    partitions of a hot key while it runs.
     """
     columns = rows.columns
     marked = rows
@@ -83,10 +78,9 @@ def with_reasons(
         is_missing = f"{name} IS NULL" + (f" AND {CORRUPT} IS NULL" if CORRUPT in columns else "")
         reasons.append(f"CASE WHEN {is_missing} THEN '{MISSING}{name}' END")
     for ref in table.references if broken is not None else ():
-        count = None if sizes is None else sizes.get(ref.column, 0)
-        if count == 0:
+        if sizes is not None and not sizes.get(ref.column, 0):
             continue
-        marked = _mark(marked, broken, ref, count is not None and count <= BROADCAST_KEYS)
+        marked = _mark(marked, broken, ref)
         reasons.append(f"CASE WHEN _broken_{ref.column} THEN concat('{VIOLATION}{ref.column}=', {ref.column}) END")
     found = f"array_compact(array({', '.join(reasons)}))" if reasons else "CAST(array() AS ARRAY<STRING>)"
     return marked.select(*columns, F.expr(found).alias(REASONS))

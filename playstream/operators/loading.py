@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from playstream.model import DIMENSIONS, Table, load_order
 from playstream.operators.changelog import latest_per_key, new_rows
 from playstream.operators.deadletter import to_dead_letters
-from playstream.operators.integrity import broken_keys, invalid, valid, with_reasons
+from playstream.operators.integrity import broken_keys, broken_sizes, invalid, valid, with_reasons
 from playstream.operators.parsing import CORRUPT, parse_dimension
 from playstream.sinks.store import FileStore
 
@@ -44,7 +44,13 @@ def current_rows(messages: DataFrame, table: Table, order: str = "offset") -> Da
 
 
 def load_table(
-    messages: DataFrame, table: Table, store: FileStore, batch: int, at: datetime, order: str = "offset"
+    messages: DataFrame,
+    table: Table,
+    store: FileStore,
+    batch: int,
+    at: datetime,
+    order: str = "offset",
+    run: str = "load",
 ) -> LoadResult:
     """Store the keys not stored yet; reject what fails the checks.
 
@@ -53,18 +59,23 @@ def load_table(
     """
     spark = messages.sparkSession
     incoming = current_rows(messages, table, order)
-    existing = store.read(spark, table, other_than_batch=batch)
+    existing = store.read(spark, table, other_than_batch=batch, run=run)
     fresh = new_rows(incoming, existing, table.primary_key).persist(StorageLevel.MEMORY_AND_DISK)
     parents = {r.parent: store.read(spark, _dimension(r.parent)) for r in table.references}
     broken = broken_keys(fresh, parents, table.references) if parents else None
-    checked = with_reasons(fresh, table, broken)
+    if broken is not None:
+        broken = broken.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        sizes = None if broken is None else broken_sizes(broken)
+        checked = with_reasons(fresh, table, broken, sizes)
         seen = Observation(f"load_{table.name}_{batch}")
-        store.write(valid(checked).observe(seen, F.count(F.lit(1)).alias("loaded")), table, batch)
-        store.write_dead_letters(to_dead_letters(invalid(checked), table.name, batch, at), table.name, batch)
+        store.write(valid(checked).observe(seen, F.count(F.lit(1)).alias("loaded")), table, batch, run)
+        store.write_dead_letters(to_dead_letters(invalid(checked), table.name, batch, at), table.name, batch, run)
         return LoadResult(table.name, seen.get["loaded"])
     finally:
         fresh.unpersist()
+        if broken is not None:
+            broken.unpersist()
 
 
 def _dimension(name: str) -> Table:

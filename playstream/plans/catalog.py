@@ -293,24 +293,82 @@ STREAMS = {
 }
 
 
-def _streamed(s: StarSchema, table: str) -> FileStore:
-    session = streaming_session(s.spark)
-    source = StarSchema(session, s.folder)
+def _stream_session(s: StarSchema) -> SparkSession:
+    return streaming_session(s.spark, state_partitions=s.spark.sparkContext.defaultParallelism)
+
+
+def _delivery(s: StarSchema, store: FileStore) -> Delivery:
+    return Delivery(store, dimensions=lambda spark: StarSchema(spark, s.folder).dimensions(), clock=lambda: AS_OF)
+
+
+def _streamed(s: StarSchema, table: str, times: int = 1) -> FileStore:
+    """The supplied events as messages, handled by ``times`` queries that know nothing of each other."""
+    source = StarSchema(_stream_session(s), s.folder)
     folder = run_folder(s.spark, table)
     store = FileStore(f"{folder}/tables")
-    delivery = Delivery(
-        store, dimensions=lambda spark: StarSchema(spark, s.folder).dimensions(), clock=lambda: AS_OF
-    )
     messages = parsing.as_messages(source.stream_events_unbounded(), "event_id")
-    started = job.start_all(
-        messages, delivery, f"{folder}/checkpoints", job.Schedule(drain=True), tables=[table]
-    )
-    job.await_all(started.values())
+    for nth in range(times):
+        started = job.start_all(
+            messages, _delivery(s, store), f"{folder}/checkpoints-{nth}", job.Schedule(drain=True), tables=[table]
+        )
+        job.await_all(started.values())
     return store
 
 
+# Distinct counts in streams are sketches of this relative deviation.
+SKETCH_DEVIATION = 0.05
+
+
+def _against_exact(s: StarSchema, table: str) -> DataFrame:
+    """Stored windows; in place of each sketch, whether it lies within three deviations of the exact count."""
+    stored = _streamed(s, table).read(s.spark, model.TABLES[table])
+    keys = ["time_window", *metrics.METRICS[table].keys]
+    sketches = [c for c in stored.columns if c.startswith("unique_")]
+    exact = metrics.windowed(s.stream_events, table).select(*keys, *[F.col(c).alias(f"exact_{c}") for c in sketches])
+    within = [
+        (F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.greatest(F.lit(1.0), 3 * SKETCH_DEVIATION * F.col(f"exact_{c}")))
+        .alias(f"{c}_within_error")
+        for c in sketches
+    ]
+    return stored.join(exact, keys).select(*[c for c in stored.columns if c not in sketches], *within)
+
+
 for _name, _table in STREAMS.items():
-    named(_name)(lambda s, table=_table: _streamed(s, table).read(s.spark, model.TABLES[table]))
+    if _table in ("hourly_metrics", "location_metrics"):
+        named(_name)(lambda s, table=_table: _against_exact(s, table))
+    else:
+        named(_name)(lambda s, table=_table: _streamed(s, table).read(s.spark, model.TABLES[table]))
+
+# Every event reaches the store twice, by two checkpoints, and is kept once.
+named("stream_repeated_events")(
+    lambda s: _streamed(s, "stream_events", times=2).read(s.spark, model.STREAM_EVENTS)
+)
+
+# Events of the first days that arrive with the third of four batches.
+LATE = "event_id LIKE '%7' AND timestamp < TIMESTAMP_NTZ '2024-01-06 00:00:00'"
+BATCH_STARTS = ("2024-01-08", "2024-01-15", "2024-01-22")
+FILES_PER_BATCH = 4
+
+
+@named("stream_late_rows")
+def _(s):
+    """Hours of a stream over four batches, whose state lasts from one to the next; what comes too late is dropped."""
+    folder = run_folder(s.spark, "late-rows")
+    bounds = [F.lit(day).cast("timestamp_ntz") for day in BATCH_STARTS]
+    nth = F.when(F.expr(LATE), 2)
+    for at, bound in enumerate(bounds):
+        nth = nth.when(F.col("timestamp") < bound, at)
+    parsed = parsing.parse_events(_event_messages(s)).withColumn("_batch", nth.otherwise(len(bounds)))
+    for at in range(len(bounds) + 1):  # one after the other: a stream takes older files first
+        part = parsed.where(F.col("_batch") == at).drop("_batch").repartition(FILES_PER_BATCH)
+        part.write.mode("append").parquet(f"{folder}/landing")
+    store = FileStore(f"{folder}/tables")
+    landed = job.landed_events(_stream_session(s), f"{folder}/landing", files_per_batch=FILES_PER_BATCH)
+    started = job.start_parsed(
+        landed, _delivery(s, store), f"{folder}/checkpoints", job.Schedule(drain=True), tables=["hourly_metrics"]
+    )
+    job.await_all(started.values())
+    return store.read(s.spark, model.HOURLY_METRICS).drop("unique_users", "unique_songs", "unique_artists")
 
 named("stream_hourly_measures")(
     lambda s: _streamed(s, "hourly_metrics")

@@ -19,6 +19,9 @@ BATCH_SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "128m",
 }
 
+# AQE merges shuffle partitions but adds none, so batch jobs start with many.
+INITIAL_PARTITIONS = 4000
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
@@ -33,6 +36,8 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    else:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(INITIAL_PARTITIONS))
     for key, value in {**BATCH_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -50,8 +55,6 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
     """
     sibling = spark.newSession()
     wanted = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if state_partitions is None and is_local(spark):
-        wanted = min(wanted, spark.sparkContext.defaultParallelism)
     sibling.conf.set("spark.sql.shuffle.partitions", str(wanted))
     sibling.conf.set("spark.sql.session.timeZone", "UTC")
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)

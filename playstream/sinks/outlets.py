@@ -90,6 +90,7 @@ class RelationalStore:
         table: Table,
         other_than_batch: int | None = None,
         since: datetime | None = None,
+        run: str = "",
     ) -> DataFrame:
         """Rows of a table; batches are not told apart here."""
         rows = relational_scan(spark, self.connection, table.name, self.splits.get(table.name))
@@ -97,7 +98,8 @@ class RelationalStore:
             rows = rows.where(F.col(table.partition_date) >= moment(since))
         return rows
 
-    def write(self, rows: DataFrame, table: Table, batch: int) -> None:
+    def write(self, rows: DataFrame, table: Table, batch: int, run: str = "", count: int | None = None) -> None:
+        """Runs and batches are not told apart: what is stored by key already is left out."""
         shaped = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
         stored = self.read(rows.sparkSession, table)
         if table.partition_date:
@@ -112,14 +114,19 @@ class RelationalStore:
 
 
 class BusLetters:
-    """Dead letters as messages of one topic."""
+    """Dead letters as messages of one topic.
+
+    The key names table, run, batch and content, so a batch that is retried sends equal
+    messages under equal keys, which compaction of the topic or its reader removes.
+    """
 
     def __init__(self, servers: str, topic: str = "dead-letter-queue"):
         self.servers = servers
         self.topic = topic
 
-    def write_dead_letters(self, letters: DataFrame, table: str, batch: int) -> None:
-        bus_append(letters, self.servers, self.topic)
+    def write_dead_letters(self, letters: DataFrame, table: str, batch: int, run: str = "") -> None:
+        name = F.concat_ws("/", F.lit(table), F.lit(run), F.lit(str(batch)), F.xxhash64("value").cast("string"))
+        bus_append(letters.withColumn("key", name), self.servers, self.topic)
 
 
 def console(stream: DataFrame):

@@ -1,14 +1,15 @@
-"""Where tables and dead letters are written, one folder per batch.
+"""Where tables and dead letters are written.
 
-A batch replaces its own folder, so running it again after a failure leaves no
-duplicates and needs no lookup in the stored table. Date folders below it let
-time filters skip files.
+Folders are nested by date, run and batch. A batch replaces what it wrote before,
+so running it again after a failure leaves no duplicates. ``run`` names whoever
+numbers the batches, as a streaming query does by the id in its checkpoint: another
+run's batches of the same number are left alone. Time filters skip whole dates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,10 @@ from pyspark.sql import types as T
 from playstream.functions.timeparts import moment
 from playstream.model import Table
 
+RUN = "run"
 BATCH = "batch"
 DATE = "event_date"
+DIRECT = "direct"
 
 
 def _or_empty(spark: SparkSession, read: Callable[[], DataFrame], schema: T.StructType) -> DataFrame:
@@ -33,30 +36,37 @@ def _or_empty(spark: SparkSession, read: Callable[[], DataFrame], schema: T.Stru
 
 
 class FileStore:
-    """``rebalance`` lets AQE merge small and split large date folders on write,
-    so that a backfill of many dates does not leave one file per task and date."""
+    """``rows_per_file`` sets how many files a batch leaves: its rows are dealt by
+    date and a salt over that many tasks, however many tasks brought them."""
 
-    def __init__(self, root: str, rebalance: bool = True):
+    def __init__(self, root: str, rows_per_file: int = 2_000_000):
         self.root = root.rstrip("/")
-        self.rebalance = rebalance
+        self.rows_per_file = rows_per_file
 
     def _folder(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def write(self, rows: DataFrame, table: Table, batch: int) -> None:
+    def write(self, rows: DataFrame, table: Table, batch: int, run: str = DIRECT, count: int | None = None) -> None:
+        """Store a batch. ``count`` is its number of rows, where it is known."""
         shaped = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
+        placed = shaped.withColumn(RUN, F.lit(run)).withColumn(BATCH, F.lit(batch).cast("long"))
+        folders = [RUN, BATCH]
         if table.partition_date:
-            dated = shaped.withColumn(DATE, F.to_date(table.partition_date))
-            if self.rebalance:
-                dated = dated.hint("rebalance", F.col(DATE))
-            writer = dated.write.partitionBy(DATE)
-        else:
-            writer = shaped.write
-        writer.mode("overwrite").parquet(f"{self._folder(table.name)}/{BATCH}={batch}")
+            placed = placed.withColumn(DATE, F.to_date(table.partition_date))
+            folders = [DATE, *folders]
+        if count is not None:
+            files = -(-count // self.rows_per_file) or 1
+            salt = F.pmod(F.xxhash64(*table.primary_key), F.lit(files))
+            placed = placed.repartition(files, *([DATE] if table.partition_date else []), salt)
+        elif table.partition_date:
+            placed = placed.hint("rebalance", F.col(DATE))
+        writer = placed.write.partitionBy(*folders).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self._folder(table.name))
 
     def _layout(self, table: Table) -> T.StructType:
         dated = [T.StructField(DATE, T.DateType())] if table.partition_date else []
-        return T.StructType([*table.schema.fields, T.StructField(BATCH, T.LongType()), *dated])
+        placed = [T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
+        return T.StructType([*table.schema.fields, *dated, *placed])
 
     def _rows(self, spark: SparkSession, table: Table) -> DataFrame:
         layout = self._layout(table)
@@ -68,15 +78,16 @@ class FileStore:
         table: Table,
         other_than_batch: int | None = None,
         since: datetime | None = None,
+        run: str = DIRECT,
     ) -> DataFrame:
         """Stored rows.
 
-        ``other_than_batch`` leaves out what a replay will replace. ``since`` is a
-        lower time bound; date folders before it are not opened.
+        ``other_than_batch`` leaves out what a replay of that batch of ``run`` will
+        replace. ``since`` is a lower time bound; date folders before it are not opened.
         """
         rows = self._rows(spark, table)
         if other_than_batch is not None:
-            rows = rows.where(F.col(BATCH) != other_than_batch)
+            rows = rows.where((F.col(RUN) != run) | (F.col(BATCH) != other_than_batch))
         if since is not None:
             recent = F.col(table.partition_date) >= moment(since)
             rows = rows.where((F.col(DATE) >= F.lit(since.date())) & recent)
@@ -86,8 +97,17 @@ class FileStore:
         """Stored rows of whole dates; other date folders are not opened."""
         return self._rows(spark, table).where(F.col(DATE).between(first, last)).select(*table.columns)
 
-    def write_dead_letters(self, letters: DataFrame, table: str, batch: int) -> None:
-        letters.select("value").write.mode("overwrite").text(f"{self._folder('dead_letters')}/{table}/{BATCH}={batch}")
+    def stored_keys(
+        self, spark: SparkSession, table: Table, first: date, last: date, batch: int, run: str
+    ) -> DataFrame:
+        """Primary keys stored by other batches for a span of dates."""
+        others = (F.col(RUN) != run) | (F.col(BATCH) != batch)
+        dated = F.col(DATE).between(F.lit(first), F.lit(last))
+        return self._rows(spark, table).where(dated & others).select(*table.primary_key)
+
+    def write_dead_letters(self, letters: DataFrame, table: str, batch: int, run: str = DIRECT) -> None:
+        folder = f"{self._folder('dead_letters')}/{table}/{RUN}={run}/{BATCH}={batch}"
+        letters.select("value").write.mode("overwrite").text(folder)
 
     def read_dead_letters(self, spark: SparkSession, table: str) -> DataFrame:
         folder = f"{self._folder('dead_letters')}/{table}"

@@ -13,23 +13,30 @@ from pyspark.sql import DataFrame, SparkSession
 from playstream.model import Table
 from playstream.operators.deadletter import to_dead_letters
 from playstream.operators.integrity import broken_keys, broken_sizes, invalid, valid, with_reasons
+from playstream.sinks.outlets import period, unseen_rows
+from playstream.sinks.store import DIRECT
 
 
 class RowStore(Protocol):
     """Holds tables. Writing one batch twice must leave it stored once."""
 
-    def write(self, rows: DataFrame, table: Table, batch: int) -> None: ...
+    def write(self, rows: DataFrame, table: Table, batch: int, run: str, count: int | None = None) -> None: ...
 
 
 class LetterBox(Protocol):
     """Takes dead letters: rows with one ``value`` of text."""
 
-    def write_dead_letters(self, letters: DataFrame, table: str, batch: int) -> None: ...
+    def write_dead_letters(self, letters: DataFrame, table: str, batch: int, run: str) -> None: ...
 
 
 Dimensions = Callable[[SparkSession], dict[str, DataFrame]]
 
 
+def run_of(spark: SparkSession) -> str:
+    """Id of the streaming query whose batch is being handled, which its checkpoint keeps."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or DIRECT
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -63,19 +70,20 @@ class Delivery:
         return lambda rows, batch: self.deliver(rows, batch, table)
 
     def deliver(self, rows: DataFrame, batch: int, table: Table) -> None:
-        """Store one batch. Running it again replaces what it wrote before.
+        """Store one batch. Running it again replaces what it wrote before, and only that.
 
         Counting fills the cache and commits the state of every partition. Most
         batches of a metric close no window and end there.
         """
         kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if kept.count():
-                self._check_and_write(kept, batch, table)
+            count = kept.count()
+            if count:
+                self._check_and_write(kept, batch, table, run_of(rows.sparkSession), count)
         finally:
             kept.unpersist()
 
-    def _check_and_write(self, rows: DataFrame, batch: int, table: Table) -> None:
+    def _check_and_write(self, rows: DataFrame, batch: int, table: Table, run: str, count: int) -> None:
         broken, sizes = None, None
         if self.dimensions and table.references:
             broken = broken_keys(rows, self.dimensions(rows.sparkSession), table.references)
@@ -84,20 +92,33 @@ class Delivery:
             if broken is not None:
                 sizes = broken_sizes(broken)
             checked = with_reasons(rows, table, broken, sizes)
-            self._store(valid(checked), rows, batch, table)
-            rejected = to_dead_letters(invalid(checked), table.name, batch, self.clock())
-            self._letters.write_dead_letters(rejected, table.name, batch)
+            self._store(valid(checked), batch, table, run, count)
+            rejected = invalid(checked)
+            letters = to_dead_letters(rejected, table.name, batch, self.clock())
+            if not rejected.isEmpty():
+                self._letters.write_dead_letters(letters, table.name, batch, run)
         finally:
             if broken is not None:
                 broken.unpersist()
 
-    def _store(self, accepted: DataFrame, everything: DataFrame, batch: int, table: Table) -> None:
-        """Duplicate keys inside a batch, as from a producer's retry, are stored once."""
+    def _store(self, accepted: DataFrame, batch: int, table: Table, run: str, count: int) -> None:
+        """A primary key is stored once: a producer's retry may repeat it inside a batch, or in a later one."""
         unique = accepted.dropDuplicates(list(table.primary_key)) if table.required else accepted
+        if table.partition_date and hasattr(self.store, "stored_keys"):
+            unique = self._not_stored_yet(unique, batch, table, run)
         try:
-            self.store.write(unique, table, batch)
+            self.store.write(unique, table, batch, run, count)
         except Exception as error:
             if self.on_error == "fail":
                 raise
-            letters = to_dead_letters(everything, table.name, batch, self.clock(), message=str(error))
-            self._letters.write_dead_letters(letters, f"{table.name}_unstored", batch)
+            letters = to_dead_letters(accepted, table.name, batch, self.clock(), message=str(error))
+            self._letters.write_dead_letters(letters, f"{table.name}_unstored", batch, run)
+
+    def _not_stored_yet(self, rows: DataFrame, batch: int, table: Table, run: str) -> DataFrame:
+        """Rows whose key no other batch has stored; only folders of the batch's own dates are opened."""
+        span = period(rows, table.partition_date)
+        if span is None:
+            return rows
+        dates = [at.date() for at in span]
+        stored = self.store.stored_keys(rows.sparkSession, table, *dates, batch, run)
+        return unseen_rows(rows, stored, table)

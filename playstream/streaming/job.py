@@ -128,9 +128,10 @@ def active_queries(spark: SparkSession) -> list[tuple[str, str]]:
 
 
 def await_all(queries: Iterable[StreamingQuery]) -> None:
-    """Wait until every query has ended; the first failure is raised."""
-    for query in queries:
-        query.awaitTermination()
+    """Wait until every query has ended; a failure is raised when it happens, whichever query has it."""
+    pending = list(queries)
+    while pending:
+        pending = [query for query in pending if not query.awaitTermination(0.2)]
 
 
 def await_any(spark: SparkSession) -> None:

@@ -10,8 +10,8 @@ from tests.helpers import dimensions, event, events, rows
 @pytest.mark.parametrize(
     "scale, expected, unknown",
     [
-        ("0.001", {"song": 20, "artist": 91, "album": 48, "device": 90, "location": 38, "user": 0}, 10),
-        ("0.01", {"song": 20, "artist": 99, "album": 50, "device": 909, "location": 384, "user": 0}, 100),
+        ("0.001", {"song": 20, "artist": 91, "album": 10, "device": 91, "location": 38, "user": 0}, 10),
+        ("0.01", {"song": 20, "artist": 99, "album": 10, "device": 99, "location": 384, "user": 0}, 100),
     ],
 )
 def test_orphans_of_the_supplied_tables(spark, scale, expected, unknown):

@@ -105,7 +105,7 @@ class Box:
     def __init__(self):
         self.seen = []
 
-    def write_dead_letters(self, letters, table, batch):
+    def write_dead_letters(self, letters, table, batch, run):
         self.seen += [(table, batch, r.value) for r in letters.collect()]
 
 
@@ -133,19 +133,45 @@ def test_a_replayed_batch_replaces_itself(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in plan
 
 
+def test_a_new_checkpoint_leaves_older_batches_alone(streams, tmp_path):
+    store = FileStore(str(tmp_path / "store"))
+    for nth, name in enumerate(("a", "b")):
+        write_file(streams, tmp_path / name, "1.json", event(1), event(2 + nth), event(7, user=901))
+        run(streams, tmp_path / name, store, tmp_path / f"cp-{name}", ["stream_events"])
+    assert rows(store.read(streams, STREAM_EVENTS), "event_id") == [("ev-1",), ("ev-2",), ("ev-3",)]
+    assert store.read_dead_letters(streams, "stream_events").count() == 2
+
+
+def test_an_event_that_comes_again_in_a_later_batch_is_stored_once(spark, tmp_path):
+    store = FileStore(str(tmp_path))
+    delivery = Delivery(store, dimensions)
+    delivery.deliver(events(spark, [event(1), event(2)]), 0, STREAM_EVENTS)
+    for _ in range(2):
+        delivery.deliver(events(spark, [event(2), event(3)]), 1, STREAM_EVENTS)
+    assert rows(store.read(spark, STREAM_EVENTS), "event_id") == [("ev-1",), ("ev-2",), ("ev-3",)]
+
+
+def test_files_follow_rows_and_not_tasks(spark, tmp_path):
+    store = FileStore(str(tmp_path), rows_per_file=1000)
+    Delivery(store).deliver(events(spark, [event(n) for n in range(400)]).repartition(200), 0, STREAM_EVENTS)
+    assert len(list((tmp_path / "stream_events").rglob("part-*.parquet"))) == 1
+    assert store.read(spark, STREAM_EVENTS).count() == 400
+
+
 class BrokenStore(FileStore):
-    def write(self, rows, table, batch):
+    def write(self, rows, table, batch, run="", count=None):
         raise OSError("store is down")
 
 
 def test_a_failing_store_stops_or_diverts(spark, tmp_path):
-    batch = events(spark, [event(1), event(2)])
+    batch = events(spark, [event(1), event(2), event(3, user=901)])
     with pytest.raises(OSError):
         Delivery(BrokenStore(str(tmp_path)), dimensions).deliver(batch, 0, STREAM_EVENTS)
     store = BrokenStore(str(tmp_path))
     Delivery(store, dimensions, on_error="dead-letter", clock=lambda: AT).deliver(batch, 0, STREAM_EVENTS)
     letters = [json.loads(r.value) for r in store.read_dead_letters(spark, "stream_events_unstored").collect()]
     assert {x["event_id"] for x in letters} == {"ev-1", "ev-2"}
+    assert store.read_dead_letters(spark, "stream_events").count() == 1
     assert json.loads(letters[0]["error_info"])["error_message"] == "store is down"
     with pytest.raises(ValueError):
         Delivery(store, on_error="ignore")
@@ -168,6 +194,7 @@ def test_closed_windows_of_the_stream_equal_the_batch(spark, star):
     final_watermark = F.lit(str(last)).cast("timestamp_ntz") - F.expr("INTERVAL 2 MINUTES")
     closed = exact.where(F.col("time_window") + F.expr("INTERVAL 1 HOUR") <= final_watermark)
     same = [c for c in TABLES["hourly_metrics"].columns if not c.startswith("unique_")]
+    assert streamed.where("NOT (unique_users_within_error AND unique_artists_within_error)").count() == 0
     assert rows(streamed, *same) == rows(closed, *same)
 
 
