@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from hashlib import sha256
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -19,7 +20,7 @@ from playstream.llm.common import bytes_of, small_batches
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Pre-tokens, and space-led stretches, whose ids a worker keeps between batches; beyond it they are worked out again.
-KEPT = 500_000
+KEPT = 200_000
 
 
 class PerfectHash:
@@ -229,9 +230,24 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = No
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
 
 
+def encode_and_decode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """What ``decode(encode(docs))`` gives, in one pass, so that a task needs one worker with one vocabulary."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(path, pattern)
+        for batch in small_batches(batches, "text"):
+            packed = codec.encode(batch.column("text").to_pylist())
+            decoded = [codec.decode(ids) for ids in packed]
+            columns = [batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(decoded, pa.binary())]
+            yield pa.record_batch(columns, names=["doc_id", "ids", "decoded"])
+
+    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return wanted.mapInArrow(run, "doc_id long, ids binary, decoded binary")
+
+
 def round_trip(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of each document's encoding and of what it decodes to."""
-    return decode(encode(docs)).select(
+    return encode_and_decode(docs).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -243,14 +259,15 @@ def tokenized(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_tokens, ids, ids_sha256)`` with the ids as an array, for training."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [ids or b"" for ids in bytes_of(batch.column("ids"))]
+        codec = _codec(None, None)
+        for batch in small_batches(batches, "text"):
+            packed = codec.encode(batch.column("text").to_pylist())
             offsets = np.cumsum([0] + [len(x) // 4 for x in packed])
             values = pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32))
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-            columns = [batch.column("doc_id"), lists, batch.column("ids_sha256")]
-            yield pa.record_batch(columns, names=["doc_id", "ids", "ids_sha256"])
+            digests = pa.array([sha256(x).hexdigest() for x in packed], pa.string())
+            yield pa.record_batch([batch.column("doc_id"), lists, digests], names=["doc_id", "ids", "ids_sha256"])
 
-    packed = encode(docs).withColumn("ids_sha256", F.sha2("ids", 256))
-    arrays = packed.mapInArrow(run, "doc_id long, ids array<int>, ids_sha256 string")
+    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    arrays = wanted.mapInArrow(run, "doc_id long, ids array<int>, ids_sha256 string")
     return arrays.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "ids_sha256")
