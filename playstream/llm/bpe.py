@@ -36,7 +36,7 @@ class PerfectHash:
         self.shift = np.zeros(self.buckets, np.int64)
         self.key_at: list[bytes | None] = [None] * self.n
         self.value_at = np.full(self.n, -1, np.int64)
-        bucket, base, stride = self._parts(keys)
+        bucket, base = self._parts(keys)
         order = np.argsort(bucket, kind="stable")
         sizes = np.bincount(bucket, minlength=self.buckets)
         ends = np.cumsum(sizes)
@@ -45,7 +45,7 @@ class PerfectHash:
             members = order[ends[b] - sizes[b] : ends[b]]
             if len(members) < 2:
                 break
-            self.shift[b], slots = self._search(base[members], stride[members], taken)
+            self.shift[b], slots = self._search(base[members], taken)
             taken[slots] = True
             self._fill(slots, members, keys)
         free = iter(np.flatnonzero(~taken).tolist())
@@ -58,21 +58,21 @@ class PerfectHash:
         for slot, member in zip(slots, members, strict=True):
             self.key_at[slot], self.value_at[slot] = keys[member], member
 
-    def _parts(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _parts(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket of each key, and the number that a displacement turns into a slot."""
         raw = np.frombuffer(b"".join(xxhash.xxh3_128_digest(k) for k in keys), ">u8").reshape(-1, 2)
-        high, low = raw[:, 0].astype(np.uint64), raw[:, 1].astype(np.uint64)
-        n = np.uint64(max(1, self.n))
-        return (
-            (high % np.uint64(self.buckets)).astype(np.int64),
-            (low % n).astype(np.int64),
-            ((high >> np.uint64(24)) ^ (low >> np.uint64(40))).astype(np.int64) % max(1, self.n),
-        )
-
-    def _search(self, base: np.ndarray, stride: np.ndarray, taken: np.ndarray) -> tuple[int, np.ndarray]:
+        return (raw[:, 0].astype(np.uint64) % np.uint64(self.buckets)).astype(np.int64), raw[:, 1].astype(np.uint64)
+
+    def _slots(self, base: np.ndarray, shift: np.ndarray) -> np.ndarray:
+        """Each displacement sends a key to a slot that is independent of the others'."""
+        mixed = base + shift.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+        return ((mixed ^ (mixed >> np.uint64(29))) % np.uint64(max(1, self.n))).astype(np.int64)
+
+    def _search(self, base: np.ndarray, taken: np.ndarray) -> tuple[int, np.ndarray]:
         start, block = 0, 64
         while True:
-            tries = np.arange(start, start + block)[:, None]
-            slots = (base + tries * stride + tries * tries) % self.n
+            slots = self._slots(base, np.arange(start, start + block)[:, None])
             ordered = np.sort(slots, axis=1)
             good = ~taken[slots].any(axis=1) & (ordered[:, 1:] != ordered[:, :-1]).all(axis=1)
             if good.any():
@@ -84,9 +84,9 @@ class PerfectHash:
         """Index of each key among those given at first, or -1."""
         if not keys or not self.n:
             return [-1] * len(keys)
-        bucket, base, stride = self._parts(keys)
+        bucket, base = self._parts(keys)
         shift = self.shift[bucket]
-        slots = np.where(shift < 0, -1 - shift, (base + shift * stride + shift * shift) % self.n).tolist()
+        slots = np.where(shift < 0, -1 - shift, self._slots(base, np.maximum(shift, 0))).tolist()
         return [int(self.value_at[s]) if self.key_at[s] == k else -1 for s, k in zip(slots, keys, strict=True)]
 
 
