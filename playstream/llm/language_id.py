@@ -113,24 +113,21 @@ class Network:
         letters = _LETTER[steps] * real
         return np.einsum("tbk,tb->bk", self._chances(self._states(steps, real)), letters), letters.sum(axis=0)
 
-    def train(self, pieces: Array, lengths: Array, labels: Array, passes: int = 6, batch: int = 256, rate: float = 0.02) -> None:
-        """Adam on the mean cross-entropy over the letters."""
+    def train(self, pieces: Array, lengths: Array, labels: Array, n_steps: int = 300, batch: int = 256, rate: float = 0.02) -> None:
+        """Steps of Adam on the mean cross-entropy over the letters, as many for any number of pieces."""
         parameters = [*self.onward.parameters(), *self.back.parameters(), self.output, self.bias]
         first, second = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
-        rng, done = np.random.default_rng(9), 0
-        n_steps = passes * -(-len(pieces) // batch)
-        for _ in range(passes):
-            order = rng.permutation(len(pieces))
-            for at in range(0, len(order), batch):
-                rows = order[at : at + batch]
-                done += 1
-                pace = rate * (1 - 0.9 * done / n_steps)
-                for p, g, m, v in zip(
-                    parameters, self._gradients(pieces[rows], lengths[rows], labels[rows]), first, second, strict=True
-                ):
-                    m += 0.1 * (g - m)
-                    v += 0.01 * (g * g - v)
-                    p -= pace * (m / (1 - 0.9**done)) / (np.sqrt(v / (1 - 0.99**done)) + 1e-7)
+        rng, order = np.random.default_rng(9), np.zeros(0, np.int64)
+        for done in range(1, n_steps + 1):
+            if len(order) < batch:
+                order = np.concatenate([order, rng.permutation(len(pieces))])
+            rows, order = order[:batch], order[batch:]
+            pace = rate * (1 - 0.9 * done / n_steps)
+            gradients = self._gradients(pieces[rows], lengths[rows], labels[rows])
+            for p, g, m, v in zip(parameters, gradients, first, second, strict=True):
+                m += 0.1 * (g - m)
+                v += 0.01 * (g * g - v)
+                p -= pace * (m / (1 - 0.9**done)) / (np.sqrt(v / (1 - 0.99**done)) + 1e-7)
 
     def _gradients(self, pieces: Array, lengths: Array, labels: Array) -> list[Array]:
         steps = np.ascontiguousarray(pieces.T)

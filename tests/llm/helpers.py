@@ -14,8 +14,8 @@ def documents(spark, texts, start=1):
     return spark.createDataFrame(rows, DOCUMENTS)
 
 
-def supplied(spark, name="documents"):
-    return table(spark, SMALL, name)
+def supplied(spark, name="documents", folder=SMALL):
+    return table(spark, folder, name)
 
 
 def odd_documents(spark):

@@ -85,7 +85,7 @@ def test_odd_rows_and_no_labels(spark):
 
 
 def test_additive_model_on_held_out_documents(spark):
-    docs, labels = supplied(spark), supplied(spark, "labels")
+    docs, labels = (supplied(spark, name, "/root/testdata/sf0.01") for name in ("documents", "labels"))
     got = gam.quality(docs, labels).toPandas().merge(labels.toPandas(), on="doc_id")
     held = got[got.held_out]
     assert len(held) and (held.predicted == held.quality).mean() > 0.9
