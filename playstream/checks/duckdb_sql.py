@@ -347,11 +347,33 @@ IN_TIME = f"""
     SELECT * FROM ({TABLES["stream_events"]}) AS arrived
     WHERE NOT (event_id LIKE '%7' AND "timestamp" < TIMESTAMP '2024-01-06 00:00:00')"""
 
+DIMENSION_COLUMNS = {
+    "users": "user_id username age gender subscription_type registration_date country",
+    "artists": "artist_id name country genre is_band",
+    "albums": "album_id title artist_id release_date total_tracks album_type",
+    "songs": "song_id title duration_seconds release_date genre language explicit",
+    "devices": "device_id device_type os browser app_version",
+    "locations": "location_id country region city timezone",
+}
+
+
+def _fields(**changed: str) -> str:
+    """Every column of every dimension as text, a row each."""
+    parts = []
+    for table, listed in DIMENSION_COLUMNS.items():
+        columns = listed.split()
+        parts += [
+            f"SELECT '{table}' AS table_name, CAST({columns[0]} AS VARCHAR) AS id, '{c}' AS field, "
+            f"CAST({changed.get(c, c)} AS VARCHAR) AS value FROM {table} WHERE {c} IS NOT NULL"
+            for c in columns
+        ]
+    return " UNION ALL ".join(parts)
+
+
 PIPELINE = {
     "parse_events": "SELECT * FROM stream_events",
-    "parse_dimensions": """
-        SELECT 'users' AS table_name, user_id AS id, username AS label, registration_date AS dated FROM users
-        UNION ALL SELECT 'albums', album_id, title, release_date FROM albums""",
+    "parse_dimensions": _fields(),
+    "loaded_dimensions": _fields(username="CASE WHEN user_id % 3 = 0 THEN 'new ' ELSE '' END || username"),
     "corrupt_records": "SELECT 'doc-' || doc_id AS message_key, text AS corrupt_record FROM documents",
     "flatten_window": """
         SELECT time_bucket(INTERVAL 1 MINUTE, "timestamp") AS time_window, count(*) AS stream_count
@@ -362,8 +384,11 @@ PIPELINE = {
                      row_number() OVER (PARTITION BY user_id ORDER BY CAST(substr(event_id, 4) AS BIGINT) DESC) AS nth
               FROM stream_events WHERE user_id IS NOT NULL) AS ranked
         WHERE nth = 1""",
-    "new_dimension_rows": """
-        FROM users WHERE user_id NOT IN (SELECT user_id FROM stream_events WHERE user_id IS NOT NULL)""",
+    "new_dimension_rows": " UNION ALL ".join(
+        f"SELECT '{dim}' AS table_name, {key} AS id FROM {dim} WHERE {key} NOT IN "
+        f"(SELECT {key} FROM stream_events WHERE {key} IS NOT NULL)"
+        for key, dim in REFERENCES
+    ),
     "fk_valid_rows": f"FROM stream_events WHERE NOT ({ANY_BROKEN})",
     "fk_invalid_rows": INVALID,
     "stream_user_engagement": _closed("user_engagement_metrics", "1 MINUTE", ("user_id", "users")),
@@ -471,6 +496,16 @@ VOLUME = {
     "volume_user_summary": FURTHER["user_summary"],
 }
 
+# Charts and reports over stored metric tables, and the same over computed ones.
+STORED = {
+    "stored_table_counts": "table_counts",
+    "stored_metrics_reconciliation": "metrics_reconciliation",
+    "stored_active_users": "dash_active_users",
+    "stored_streams_by_country": "dash_streams_by_country",
+    "stored_hourly_rates": "dash_hourly_rates",
+    "stored_recent_engagement": "recent_engagement",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     found = {name: _query(f"SELECT * FROM {name}") for name in METRIC_NAMES}
@@ -479,6 +514,8 @@ def oracle_sql() -> dict[str, str]:
     found |= {name: _query(body) for name, body in DASHBOARD.items()}
     found |= {name: _query(body) for name, body in (FURTHER | PIPELINE).items()}
     found |= {name: _query(body, stream_events=ORDER_EVENTS) for name, body in VOLUME.items()}
+    for stored, computed in STORED.items():
+        found[stored] = found[computed]
     found["stream_late_rows"] = _query(PIPELINE["stream_hourly_measures"], stream_events=IN_TIME)
     for name in ("dead_letter_rows", "stream_dead_letters"):
         found[name] = _query(LETTERS, invalid_rows=INVALID)
