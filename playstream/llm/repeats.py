@@ -28,7 +28,7 @@ from playstream.llm.suffixes import joined, repeated
 
 LENGTH = 200
 #: Length of the strings whose hashes are compared; shorter ones make more buckets hold nothing but chance.
-GRAM = 50
+GRAM = 32
 #: Different stretches of a bucket that are sorted in one place.
 SORTED = 2048
 #: Bytes that are sorted, or hashed, together.
@@ -214,10 +214,10 @@ def _large_buckets(cut: DataFrame, length: int) -> DataFrame:
 def spans(docs: DataFrame, length: int = LENGTH, sorted_at_once: int = SORTED) -> DataFrame:
     """``(key_id, key_text, begin, stop)``: repeated byte ranges of the keyed ``docs``; they may overlap."""
     anchored = settled(_anchored(docs, length), "anchors")
-    shared = anchored.groupBy("h").agg(F.count("*").alias("n"), F.min("r").alias("a"), F.max("r").alias("b")).where("n > 1")
-    candidates = settled(
-        anchored.join(shared.select("h", (F.col("a") != F.col("b")).alias("mixed")), "h"), "shared-anchors"
-    )
+    seen = anchored.groupBy("h").agg(F.count("*").alias("n"), F.min("r").alias("a"), F.max("r").alias("b"))
+    # settled, so that both sides of the join are shuffles of their own and Spark can split a hot hash
+    shared = settled(seen.where("n > 1").select("h", (F.col("a") != F.col("b")).alias("mixed")), "shared-hashes")
+    candidates = settled(anchored.join(shared, "h"), "shared-anchors")
     one = F.min(F.struct(*_KEYS, "low", "high"))
     kinds = settled(
         candidates.where("mixed").groupBy("h", "r").agg(F.count("*").alias("copies"), one.alias("one")), "stretches"
