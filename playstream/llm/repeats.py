@@ -30,7 +30,7 @@ LENGTH = 200
 #: Length of the strings whose hashes are compared; shorter ones make more buckets hold nothing but chance.
 GRAM = 32
 #: Different stretches of a bucket that are sorted in one place.
-SORTED = 2048
+SORTED = 8192
 #: Bytes that are sorted, or hashed, together.
 _AT_ONCE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
