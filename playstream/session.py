@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -65,7 +67,8 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Only a local master may fall back to a temporary folder of this machine,
+    which is removed when the program ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -75,6 +78,7 @@ def shared_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="playstream-")
+        atexit.register(shutil.rmtree, _LOCAL_FOLDERS[app], ignore_errors=True)
     return _LOCAL_FOLDERS[app]
 
 
