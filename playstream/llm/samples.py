@@ -21,4 +21,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, u
         .orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id")
         .limit(rows)
     )
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
+    # at most ``rows`` pairs of numbers, so the broadcast has a fixed bound
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
