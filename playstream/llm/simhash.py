@@ -23,20 +23,26 @@ TILE = 512
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: bytes | None, words_in_shingle: int = SHINGLE) -> int:
-    """Majority bits of the shingles' XXH64; 0 without a word."""
+def shingle_hashes(text: bytes | None, words_in_shingle: int) -> list[int]:
+    """XXH64 of each shingle in text order; a text of fewer words is one shingle."""
     words = (text or b"").lower().split()
     if not words:
-        return 0
+        return []
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
     if len(words) <= words_in_shingle:
-        hashes = [digest(joined, HASH_SEED)]
-    else:
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths + 1) - 1
-        starts = (ends - lengths)[: len(words) - words_in_shingle + 1].tolist()
-        stops = ends[words_in_shingle - 1 :].tolist()
-        hashes = [digest(joined[i:j], HASH_SEED) for i, j in zip(starts, stops, strict=True)]
+        return [digest(joined, HASH_SEED)]
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    starts = (ends - lengths)[: len(words) - words_in_shingle + 1].tolist()
+    stops = ends[words_in_shingle - 1 :].tolist()
+    return [digest(joined[i:j], HASH_SEED) for i, j in zip(starts, stops, strict=True)]
+
+
+def fingerprint(text: bytes | None, words_in_shingle: int = SHINGLE) -> int:
+    """Majority bits of the shingles' XXH64; 0 without a word."""
+    hashes = shingle_hashes(text, words_in_shingle)
+    if not hashes:
+        return 0
     octets = np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8)
     ones = np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
