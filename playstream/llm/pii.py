@@ -19,10 +19,31 @@ ROUNDS = 8
 _MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}+"
 _SECRET = r"""(?<![A-Za-z])(?i:token|secret|password|api_?key)\s?[=:]\s?"[^"\s]{8,}+\""""
 _HOST = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
-_PHONE = r"(?<![0-9+])\+[0-9]{1,3}[ -](?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ -][0-9]{2,5}){1,3}(?![0-9])"
+#: Complete, and so not carried on over a space: ten digits after +1, a hyphenated subscriber number, 15 digits.
+_PHONE = (
+    r"(?<![0-9+])\+(?:1[ -](?:\([0-9]{3}\)|[0-9]{3})[ -][0-9]{3}[ -][0-9]{4}(?![0-9])"
+    r"|[0-9]{1,3}[ -](?:\([0-9]{2,4}\)|[0-9]{2,4})[ -][0-9]{2,5}-[0-9]{2,5}(?:-[0-9]{2,5})?(?![0-9]|-[0-9])"
+    r"|[0-9]{1,3}[ -](?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ -][0-9]{2,5}){1,3}(?![0-9])(?<![0-9]"
+    + "[ ()-]{0,2}[0-9]" * 15
+    + "))"
+)
 _DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9])"
 _SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
-_CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+#: A run of numbers, of which any neighbours may be a card; the first part of a host or date after it is none of it.
+_CARD = (
+    r"(?<![0-9])(?=(?:[0-9][ -]?){12}[0-9])[0-9][0-9 -]*[0-9](?![0-9])"
+    r"(?!(?<=[ -][0-9]{1,3})(?:\.[0-9]{1,3}){3}(?![0-9.]))(?!(?<=[ -][0-9]{2})[./][0-9]{2}[./][0-9]{4}(?![0-9]))"
+)
+#: Usual ways to group the digits of a card, and first digits with the lengths that issuers give them.
+_LAYOUT = r"^(?:[0-9]+|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})$"
+_ISSUER = (
+    r"^(?:4[0-9]{12}(?:[0-9]{3}){0,2}|5[1-5][0-9]{14}|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)[0-9]{12}"
+    r"|3[47][0-9]{13}|3(?:0[0-5]|[689][0-9])[0-9]{11}|6(?:011|4[4-9][0-9]|5[0-9]{2})[0-9]{12}(?:[0-9]{3})?"
+    r"|35[0-9]{14}|62[0-9]{14,17})$"
+)
+#: Most groups of a card that is not the whole run.
+CARD_GROUPS = 8
+_IN_RUN = "|".join((_DATE, _SOCIAL))
 PATTERN = "|".join((_MAIL, _SECRET, _HOST, _PHONE, _DATE, _SOCIAL, _CARD))
 #: What each of the above holds at least; other texts are passed through without a search.
 HINT = r'[0-9@]|=\s?"|:\s?"'
@@ -116,15 +137,47 @@ def _digits(text: Column) -> Column:
 
 
 def _card(text: Column, key: str) -> Column:
+    """A number that has passed Luhn's check."""
+
     def run(d: Column) -> Column:
         payload = permuted_digits(F.substring(d, F.lit(1), F.length(d) - 1), key, F.lit("card"))
         check = lambda p: F.pmod(10 - luhn_sum(p, 1) % 10, F.lit(10)).cast("string")
-        changed = let(payload, lambda p: _into_places(text, F.concat(p, check(p))))
-        return F.when(luhn_sum(d, 0) % 10 == 0, changed).otherwise(text)
+        return let(payload, lambda p: _into_places(text, F.concat(p, check(p))))
 
     return let(_digits(text), run)
 
 
+def _cards(groups: Column) -> Column:
+    """The places ``(i, n)`` of cards in ``groups`` (each with the separator after it): neighbours of 13 to 19 digits
+    that pass Luhn's check. Where such overlap, usual groupings of known issuers go first, then the shorter."""
+    whole = F.size(groups)
+
+    def at(i: Column, n: Column) -> Column:
+        text = F.regexp_replace(F.array_join(F.slice(groups, i, n), ""), "[ -]$", "")
+        return F.struct(i.alias("i"), n.alias("n"), text.alias("text"), _digits(text).alias("digits"))
+
+    def from_group(i: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.least(F.lit(CARD_GROUPS), whole - i + 1)), lambda n: at(i, n))
+
+    def ranked(c: Column) -> Column:
+        usual, known = c["text"].rlike(_LAYOUT), c["digits"].rlike(_ISSUER)
+        rank = F.when(usual & known, 0).when(usual, 1).when(known, 2).when(c["n"] == whole, 3)
+        return F.struct(rank.alias("rank"), c["i"].alias("i"), c["n"].alias("n"))
+
+    def possible(c: Column) -> Column:
+        return F.length(c["digits"]).between(13, 19) & ~c["text"].rlike("[ -]{2}")
+
+    def free(taken: Column, c: Column) -> Column:
+        meets = F.exists(taken, lambda t: (t["i"] < c["i"] + c["n"]) & (c["i"] < t["i"] + t["n"]))
+        return F.when(meets, taken).otherwise(F.concat(taken, F.array(F.struct(c["i"].alias("i"), c["n"].alias("n")))))
+
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), whole), from_group))
+    every = F.when(whole > CARD_GROUPS, F.concat(parts, F.array(at(F.lit(1), whole)))).otherwise(parts)
+    valid = F.filter(F.filter(every, possible), lambda c: luhn_sum(c["digits"], 0) % 10 == 0)
+    order = F.array_sort(F.filter(F.transform(valid, ranked), lambda c: c["rank"].isNotNull()))
+    return F.array_sort(F.aggregate(order, F.array().cast("array<struct<i:int,n:int>>"), free))
+
+
 def _phone(text: Column, key: str) -> Column:
     """The country code stays, the number after it is permuted; seven to fifteen digits in all."""
 
@@ -210,7 +263,8 @@ def kind_of(match: Column) -> Column:
 
 
 def pseudonym(match: Column, key: str) -> Column:
-    """Struct of ``kind`` and ``new``; ``new`` is the match itself where it is no valid value of its kind."""
+    """Struct of ``kind``, ``old`` and ``new`` for all kinds but cards; ``new`` is the match itself where it is no valid
+    value of its kind."""
     forms = {
         "mail": _mail,
         "secret": _secret,
@@ -218,18 +272,62 @@ def pseudonym(match: Column, key: str) -> Column:
         "phone": _phone,
         "date": _date,
         "social": _social,
-        "card": _card,
     }
 
     def run(kind: Column) -> Column:
         chosen = F.when(kind == KINDS[0], forms[KINDS[0]](match, key))
-        for name in KINDS[1:]:
+        for name in KINDS[1:-1]:
             chosen = chosen.when(kind == name, forms[name](match, key))
         return F.struct(kind.alias("kind"), match.alias("old"), chosen.alias("new"))
 
     return let(kind_of(match), run)
 
 
+_TOKEN = "struct<kind:string,old:string,new:string>"
+
+
+def _plain(text: Column) -> Column:
+    return F.struct(F.lit(None).cast("string").alias("kind"), text.alias("old"), text.alias("new"))
+
+
+def _run_tokens(run: Column, key: str) -> Column:
+    """A run of numbers as tokens: its cards, and dates and social security numbers in what is left of it."""
+
+    def rest(text: Column) -> Column:
+        forms = {"date": _date, "social": _social}
+
+        def known(m: Column) -> Column:
+            kind = kind_of(m)
+            chosen = F.coalesce(*[F.when(kind == k, form(m, key)) for k, form in forms.items()], m)
+            return F.struct(kind.alias("kind"), m.alias("old"), chosen.alias("new"))
+
+        between = F.split(text, _IN_RUN, -1)
+        found = F.transform(F.regexp_extract_all(text, F.lit(_IN_RUN), F.lit(0)), known)
+        pairs = F.zip_with(between, found, lambda piece, f: F.array(_plain(piece), f.cast(_TOKEN)))
+        return F.filter(F.flatten(pairs), lambda t: t.isNotNull())
+
+    def pieces(groups: Column) -> Column:
+        start = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<card:boolean,text:string>>").alias("out"))
+        of = lambda i, n: F.array_join(F.slice(groups, i, n), "")
+        piece = lambda card, text: F.struct(F.lit(card).alias("card"), text.alias("text"))
+
+        def step(state: Column, c: Column) -> Column:
+            before = piece(False, of(state["next"], c["i"] - state["next"]))
+            here = piece(True, of(c["i"], c["n"]))
+            return F.struct((c["i"] + c["n"]).alias("next"), F.concat(state["out"], F.array(before, here)).alias("out"))
+
+        last = lambda s: F.concat(s["out"], F.array(piece(False, of(s["next"], F.size(groups) - s["next"] + 1))))
+        return F.aggregate(_cards(groups), start, step, last)
+
+    def tokens(p: Column) -> Column:
+        number = F.regexp_replace(p["text"], "[ -]$", "")
+        card = F.struct(F.lit("card").alias("kind"), number.alias("old"), _card(number, key).alias("new"))
+        after = _plain(F.regexp_extract(p["text"], "[ -]?$", 0))
+        return F.when(p["card"], F.array(card.cast(_TOKEN), after)).otherwise(rest(p["text"]))
+
+    return F.flatten(F.transform(let(F.split(run, "(?<=[ -])", -1), pieces), tokens))
+
+
 def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """``docs`` with personal data replaced in ``text``, and ``found``, an array of ``(kind, old, new)`` in text order.
 
@@ -238,12 +336,18 @@ def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     ``text`` are not touched (an equally named ``found`` is replaced); an empty table gives no rows.
     """
     hit = F.col("text").rlike(HINT)
-    matches = F.transform(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)), lambda m: pseudonym(m, key))
-    nothing = "array<struct<kind:string,old:string,new:string>>"
-    found = docs.withColumn("found", F.when(hit, matches).otherwise(F.array().cast(nothing)))
+
+    def tokens(m: Column) -> Column:
+        return F.when(kind_of(m) == "card", _run_tokens(m, key)).otherwise(F.array(pseudonym(m, key).cast(_TOKEN)))
+
+    matches = F.transform(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)), tokens)
+    found = docs.withColumn("found", F.when(hit, matches).otherwise(F.array().cast(f"array<array<{_TOKEN}>>")))
     between = F.split("text", PATTERN, -1)
-    joined = F.zip_with(between, "found", lambda piece, f: F.concat(piece, F.coalesce(f["new"], F.lit(""))))
-    return found.withColumn("text", F.when(F.size("found") > 0, F.array_join(joined, "")).otherwise(F.col("text")))
+    new = lambda f: F.array_join(F.transform(f, lambda t: t["new"]), "")
+    joined = F.zip_with(between, "found", lambda piece, f: F.concat(piece, F.coalesce(new(f), F.lit(""))))
+    text = F.when(F.size("found") > 0, F.array_join(joined, "")).otherwise(F.col("text"))
+    values = F.filter(F.flatten("found"), lambda t: t["kind"].isNotNull())
+    return found.withColumns({"text": text, "found": values})
 
 
 def _of_kind(kind: str) -> Callable[[Column], Column]:
