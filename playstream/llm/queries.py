@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playstream.llm import bpe, embeddings, gam, language_id, mixing, pii, quality_rules, repeats, simhash, url_filter
+from playstream.llm import (
+    bpe,
+    centroids,
+    embeddings,
+    gam,
+    language_id,
+    mixing,
+    packing,
+    pii,
+    quality_rules,
+    repeats,
+    resampling,
+    simhash,
+    url_filter,
+)
 from playstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +66,18 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.languages(table(spark, folder, "documents"))
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pieces(table(spark, folder, "documents"))
+
+
+def op12_target_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.clustered(table(spark, folder, "embeddings"))
+
+
 REGISTERED = (
     op1_simhash_near_dedup,
     op2_repeated_passages,
@@ -63,6 +89,9 @@ REGISTERED = (
     op8_url_filter,
     op9_source_mixing,
     op10_language_id,
+    op11_packing,
+    op12_target_resampling,
+    op13_centroid_clustering,
 )
 
 
@@ -75,4 +104,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_embedding_near_dedup": embeddings.near_duplicates_sql(),
         "op8_url_filter": url_filter.judge_sql(),
         "op9_source_mixing": mixing.report_sql(),
+        "op13_centroid_clustering": centroids.clustered_sql(),
     }
