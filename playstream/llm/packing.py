@@ -10,6 +10,7 @@ from zlib import crc32
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,10 @@ WIDTH, END = 1024, 0
 _JOINED, _AT_ONCE = 4096, 8 << 20
 
 
+#: White space, more of it than the vocabulary's pattern knows.
+_WHITE = r"[\s\x0b\x1c-\x1f\x85\pZ]"
+
+
 class Stretches:
     """Ids of texts by a byte-level ``tokenizers`` vocabulary, each different stretch of a batch tokenized once.
 
@@ -35,7 +40,6 @@ class Stretches:
     """
 
     _cut = re.compile(r"(?<=\S) ").split
-    _crossing = re.compile(r"\s |^ ").search
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
@@ -53,70 +57,70 @@ class Stretches:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, "<u4")
 
-    def _ids_of_stretches(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the stretches (given without their first space), and how many each has."""
-        counts = np.zeros(len(stretches), np.int64)
-        parts: list[np.ndarray] = [np.zeros(0, "<u4")] * len(stretches)
-        simple = [i for i, s in enumerate(stretches) if s and " " not in s and not s[0].isspace()]
-        alone = set(range(len(stretches))).difference(simple)
-        for i in alone:
-            parts[i] = self._ids(" " + stretches[i])
-            counts[i] = len(parts[i])
-        for at in range(0, len(simple), _JOINED):
-            members = simple[at : at + _JOINED]
-            # a stretch that ends in white space would run into the next one's space
-            ends = [i for i in members if stretches[i][-1].isspace()]
-            for i in ends:
-                parts[i] = self._ids(" " + stretches[i])
-                counts[i] = len(parts[i])
-            members = [i for i in members if not stretches[i][-1].isspace()] if ends else members
-            ids = self._ids("".join([" " + stretches[i] for i in members]))
-            starts = np.flatnonzero(self.leads[ids])
-            for i, start, stop in zip(members, starts.tolist(), [*starts[1:].tolist(), len(ids)], strict=True):
-                parts[i] = ids[start:stop]
-                counts[i] = stop - start
-        return np.concatenate([np.zeros(0, "<u4"), *parts]), counts
-
-    def encode(self, texts: list[str | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def _known(self, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different stretches, in an order of its own; the number of ids of each; which stretch each is.
+
+        A stretch that begins or ends in white space would run into its neighbour, and one that holds a space would
+        count as two: these are tokenized alone.
+        """
+        alone = pc.match_substring_regex(stretches, f"^{_WHITE}|{_WHITE}$|^$| ").to_numpy(zero_copy_only=False)
+        together, apart = np.flatnonzero(~alone), np.flatnonzero(alone)
+        ids, counts = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        texts = stretches.take(pa.array(together)).to_pylist()
+        for at in range(0, len(texts), _JOINED):
+            found = self._ids(" " + " ".join(texts[at : at + _JOINED]))
+            starts = np.flatnonzero(self.leads[found])
+            ids.append(found)
+            counts.append(np.diff(starts, append=len(found)))
+        for text in stretches.take(pa.array(apart)).to_pylist():
+            ids.append(self._ids(" " + text))
+            counts.append(np.array([len(ids[-1])]))
+        return np.concatenate(ids), np.concatenate(counts), np.concatenate([together, apart])
+
+    def _whole(self, text: str) -> np.ndarray:
+        """Ids of a text in which white space meets a space."""
+        first, *rest = self._cut(text)
+        stretches = pa.array(rest, pa.large_string()).dictionary_encode()
+        ids, counts, which = self._known(stretches.dictionary)
+        place = np.argsort(which)
+        lists = pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]), pa.array(ids))
+        taken = place[stretches.indices.to_numpy(zero_copy_only=False)]
+        return np.concatenate([self._ids(first), lists.take(pa.array(taken)).flatten().to_numpy(zero_copy_only=False)])
+
+    def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, ``end`` after each, and the number of ids of each text."""
-        firsts: list[str] = []
-        stretches: list[str] = []
-        per_text = np.zeros(len(texts), np.int64)
-        for at, text in enumerate(texts):
-            if not text:
-                firsts.append("")
-                continue
-            first, *rest = self._cut(text) if self._crossing(text) else text.split(" ")
-            firsts.append(first)
-            stretches += rest
-            per_text[at] = len(rest)
-        coded = pa.array(stretches, pa.large_string()).dictionary_encode()
-        known, known_counts = self._ids_of_stretches(coded.dictionary.to_pylist())
-        last = np.zeros(0 if end is None else 1, "<u4")
-        last[:] = end or 0
-        heads = [self._ids(f) for f in firsts]
-        # pieces in text order: the head, the stretches, the closing id; each is a slice of `pool`
-        pool = np.concatenate([known, last, *heads])
-        head_starts = len(known) + len(last) + np.cumsum([0, *map(len, heads)])
-        pool_starts = np.concatenate([[0], np.cumsum(known_counts), head_starts])
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        text_of = np.repeat(np.arange(len(texts)), per_text)
-        place = np.arange(len(codes)) + (text_of + 1) + text_of * len(last)
-        n = len(texts) * (1 + len(last)) + len(codes)
-        starts, lengths = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        starts[place], lengths[place] = pool_starts[codes], known_counts[codes]
-        ahead = np.concatenate([[0], np.cumsum(per_text)])
-        head_at = ahead[:-1] + np.arange(len(texts)) * (1 + len(last))
-        base = len(known_counts) + 1
-        starts[head_at] = pool_starts[base : base + len(texts)]
-        lengths[head_at] = [len(h) for h in heads]
-        if len(last):
-            end_at = head_at + 1 + per_text
-            starts[end_at], lengths[end_at] = len(known), 1
-        totals = np.add.reduceat(lengths, head_at) if len(texts) else np.zeros(0, np.int64)
-        stops = np.cumsum(lengths)
-        all_ids = pool[np.arange(int(stops[-1]) if n else 0) + np.repeat(starts - (stops - lengths), lengths)]
-        return all_ids, totals
+        texts = texts.cast(pa.large_string()).fill_null("")
+        crossing = pc.match_substring_regex(texts, f"{_WHITE} |^ ")
+        pieces = pc.split_pattern(pc.if_else(crossing, "", texts), " ")
+        offsets = pieces.offsets.to_numpy()[: len(texts) + 1]
+        firsts = pieces.values.take(pa.array(offsets[:-1])).to_pylist()
+        odd = np.flatnonzero(crossing.to_numpy(zero_copy_only=False))
+        heads = [self._ids(first) for first in firsts]
+        for i, text in zip(odd, texts.take(pa.array(odd)).to_pylist(), strict=True):
+            heads[i] = self._whole(text)
+        is_first = np.zeros(len(pieces.values), bool)
+        is_first[offsets[:-1]] = True
+        coded = pieces.values.filter(pa.array(~is_first)).dictionary_encode()
+        known, known_counts, which = self._known(coded.dictionary)
+        # lists to choose from: the different stretches, the closing id, the heads
+        last = [] if end is None else [np.array([end], "<u4")]
+        choice = np.concatenate([known, *last, *heads]).astype("<u4", copy=False)
+        counts = np.concatenate([known_counts, np.array([len(x) for x in (*last, *heads)], np.int64)])
+        # what each text takes of them, in order: its head, its stretches, the closing id
+        per_text = np.diff(offsets) - 1
+        each = 1 + len(last)
+        heads_at = np.cumsum(per_text) - per_text + each * np.arange(len(texts))
+        taken = np.full(len(coded) + each * len(texts), len(known_counts), np.int64)
+        taken[heads_at] = len(known_counts) + len(last) + np.arange(len(texts))
+        others = np.ones(len(taken), bool)
+        others[heads_at] = False
+        if last:
+            others[heads_at + 1 + per_text] = False
+        taken[others] = np.argsort(which)[coded.indices.to_numpy(zero_copy_only=False)]
+        lists = pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]), pa.array(choice))
+        ids = lists.take(pa.array(taken)).flatten().to_numpy(zero_copy_only=False)
+        totals = np.add.reduceat(counts[taken], heads_at) if len(texts) else np.zeros(0, np.int64)
+        return ids, totals
 
 
 @lru_cache(maxsize=2)
@@ -135,7 +139,7 @@ def encoded(docs: DataFrame, path: str | None = None, end: int = END) -> DataFra
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stretches, part, at = _stretches(path or public_tokenizers.path(VOCABULARY)), TaskContext.get().partitionId(), 0
         for batch in small_batches(batches, "text"):
-            ids, counts = stretches.encode(batch.column("text").to_pylist(), end)
+            ids, counts = stretches.encode(batch.column("text"), end)
             stops = np.cumsum(counts)
             raw = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(),

@@ -5,6 +5,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from playstream.llm import packing
@@ -14,10 +15,12 @@ from tests.llm.helpers import documents, odd_documents, supplied, with_clashes
 PATH = public_tokenizers.path(packing.VOCABULARY)
 
 
+PLAIN = Tokenizer.from_file(PATH)
+PLAIN.encode_special_tokens = True
+
+
 def plain_ids(text):
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+    return [*PLAIN.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def check(docs):
@@ -80,11 +83,10 @@ def test_stretches_equal_whole_texts():
     stretches, chooser = packing.Stretches(PATH), random.Random(1)
     signs = [" ", "\n", "\t", "a", "B", "1", ".", "é", " ", "　", "'s", "\x1d", "​", "\x85", "<|endoftext|>"]
     texts = ["".join(chooser.choice(signs) for _ in range(chooser.randint(0, 40))) for _ in range(2000)]
-    ids, counts = stretches.encode(texts, 0)
+    ids, counts = stretches.encode(pa.array(texts), 0)
     at = 0
-    tokenizer = stretches.tokenizer
     for text, n in zip(texts, counts.tolist(), strict=True):
-        assert ids[at : at + n].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0], repr(text)
+        assert ids[at : at + n].tolist() == plain_ids(text), repr(text)
         at += n
     assert at == len(ids) and 50256 not in ids
 
@@ -101,10 +103,9 @@ def test_sequences_hold_all_ids(spark):
 
 
 def test_padding_stops_at_a_power_of_two(spark):
-    tokenizer = Tokenizer.from_file(PATH)
     for n in (3, 4, 7):
         text = " ".join(["a"] * n)
-        assert len(tokenizer.encode(text).ids) == n
+        assert len(PLAIN.encode(text).ids) == n
         (row,) = packing.sequences(documents(spark, [text])).collect()
         assert row.n == n + 1 and len(row.ids) == 4 * (n + 1 if n in (3, 7) else packing.WIDTH)
 
