@@ -16,17 +16,31 @@ from pyspark.sql import functions as F
 DEFAULT_KEY = "playstream pseudonyms"
 ROUNDS = 8
 
-_MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}+"
-_SECRET = r"""(?<![A-Za-z])(?i:token|secret|password|api_?key)\s?[=:]\s?"[^"\s]{8,}+\""""
+_MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){0,126}\.[A-Za-z]{2,}+"
+#: A name, perhaps in quotes as in JSON, and its value: in quotes, or without them if it holds a digit.
+_SECRET_NAME = r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?\s?[=:]\s?"
+_SECRET = (
+    r"(?<![A-Za-z])" + _SECRET_NAME + r"""(?:"[^"\s]{8,}+"|'[^'\s]{8,}+'"""
+    r"""|(?=[A-Za-z_+/.~-]*+[0-9])[A-Za-z0-9][A-Za-z0-9_+/.~-]{6,}[A-Za-z0-9_+/~-])"""
+)
 _HOST = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
-#: Complete, and so not carried on over a space: ten digits after +1, a hyphenated subscriber number, 15 digits.
+#: Country codes of one and two digits; all others have three. Fixed values.
+_CODE = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
+#: Complete, and so not carried on over a space: ten digits after +1, a subscriber number in one piece or with a hyphen,
+#: 15 digits. Without a country code: three, three and four digits with the first three in parentheses, or all hyphened.
 _PHONE = (
-    r"(?<![0-9+])\+(?:1[ -](?:\([0-9]{3}\)|[0-9]{3})[ -][0-9]{3}[ -][0-9]{4}(?![0-9])"
+    r"(?<![0-9+])\+(?:1[ .-](?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"
+    r"|[1-9][0-9]{6,14}(?![0-9])"
+    r"|[0-9]{1,3}[ .-](?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{6,8}(?![0-9])"
     r"|[0-9]{1,3}[ -](?:\([0-9]{2,4}\)|[0-9]{2,4})[ -][0-9]{2,5}-[0-9]{2,5}(?:-[0-9]{2,5})?(?![0-9]|-[0-9])"
     r"|[0-9]{1,3}[ -](?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ -][0-9]{2,5}){1,3}(?![0-9])(?<![0-9]"
     + "[ ()-]{0,2}[0-9]" * 15
     + "))"
 )
+_NATIONAL = (
+    r"(?<![0-9+][ -]?)\([2-9][0-9]{2}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9]|-[0-9])"
+    r"|(?<![0-9.-]|[0-9+] )[2-9][0-9]{2}-[2-9][0-9]{2}-[0-9]{4}(?![0-9]|-[0-9]| [0-9])"
+)
 _DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9])"
 _SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 #: A run of numbers, of which any neighbours may be a card; the first part of a host or date after it is none of it.
@@ -41,12 +55,12 @@ _ISSUER = (
     r"|3[47][0-9]{13}|3(?:0[0-5]|[689][0-9])[0-9]{11}|6(?:011|4[4-9][0-9]|5[0-9]{2})[0-9]{12}(?:[0-9]{3})?"
     r"|35[0-9]{14}|62[0-9]{14,17})$"
 )
-#: Most groups of a card that is not the whole run.
-CARD_GROUPS = 8
+#: Most groups in a usual layout; other ways to group a card's digits count only where the card is the whole run.
+CARD_GROUPS = 5
 _IN_RUN = "|".join((_DATE, _SOCIAL))
-PATTERN = "|".join((_MAIL, _SECRET, _HOST, _PHONE, _DATE, _SOCIAL, _CARD))
+PATTERN = "|".join((_MAIL, _SECRET, _HOST, _PHONE, _NATIONAL, _DATE, _SOCIAL, _CARD))
 #: What each of the above holds at least; other texts are passed through without a search.
-HINT = r'[0-9@]|=\s?"|:\s?"'
+HINT = r"""[0-9@]|[=:]\s?["']"""
 
 KINDS = ("mail", "secret", "host", "phone", "date", "social", "card")
 #: Dates are permuted among the days of this Gregorian cycle, whose length is 189 * 773 days.
@@ -149,7 +163,8 @@ def _card(text: Column, key: str) -> Column:
 
 def _cards(groups: Column) -> Column:
     """The places ``(i, n)`` of cards in ``groups`` (each with the separator after it): neighbours of 13 to 19 digits
-    that pass Luhn's check. Where such overlap, usual groupings of known issuers go first, then the shorter."""
+    that pass Luhn's check. Among other numbers only a single group, or a usual layout of a known issuer, is one; where
+    such overlap, known issuers go first."""
     whole = F.size(groups)
 
     def at(i: Column, n: Column) -> Column:
@@ -161,7 +176,7 @@ def _cards(groups: Column) -> Column:
 
     def ranked(c: Column) -> Column:
         usual, known = c["text"].rlike(_LAYOUT), c["digits"].rlike(_ISSUER)
-        rank = F.when(usual & known, 0).when(usual, 1).when(known, 2).when(c["n"] == whole, 3)
+        rank = F.when(usual & known, 0).when(c["n"] == 1, 1).when(c["n"] == whole, 2)
         return F.struct(rank.alias("rank"), c["i"].alias("i"), c["n"].alias("n"))
 
     def possible(c: Column) -> Column:
@@ -179,14 +194,16 @@ def _cards(groups: Column) -> Column:
 
 
 def _phone(text: Column, key: str) -> Column:
-    """The country code stays, the number after it is permuted; seven to fifteen digits in all."""
+    """The country code stays, the number after it is permuted; seven to fifteen digits in all. A number without a
+    code is permuted like the same number after +1."""
 
     def run(code: Column) -> Column:
         rest = F.substring(text, F.length(code) + 1, F.length(text))
-        changed = F.concat(code, _into_places(rest, permuted_digits(_digits(rest), key, F.concat(F.lit("phone"), code))))
+        country = F.when(code == "", "+1").otherwise(code)
+        changed = F.concat(code, _into_places(rest, permuted_digits(_digits(rest), key, F.concat(F.lit("phone"), country))))
         return F.when(F.length(_digits(text)).between(7, 15), changed).otherwise(text)
 
-    return let(F.regexp_extract(text, r"^\+[0-9]+", 0), run)
+    return let(F.regexp_extract(text, rf"^\+(?:[0-9]{{1,3}}(?=[ .(-])|{_CODE})", 0), run)
 
 
 def _social(text: Column, key: str) -> Column:
@@ -239,23 +256,26 @@ def _mail(text: Column, key: str) -> Column:
 
 
 def _secret(text: Column, key: str) -> Column:
-    """Hexadecimal digits of the same number (128 at most) in place of what is quoted."""
+    """As many hexadecimal digits in place of the value."""
 
     def run(head: Column) -> Column:
-        value = F.substring(text, F.length(head) + 1, F.length(text) - F.length(head) - 1)
-        digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("secret"), value), 512)
-        return F.concat(head, F.substring(digest, F.lit(1), F.length(value)), F.lit('"'))
+        quote = F.regexp_extract(text, "[\"']$", 0)
+        value = F.substring(text, F.length(head) + 1, F.length(text) - F.length(head) - F.length(quote))
+        whole = F.concat_ws("|", F.lit(key), F.lit("secret"), value)
+        block = lambda k: F.sha2(F.when(k == 0, whole).otherwise(F.concat(whole, F.lit("|"), k.cast("string"))), 512)
+        digits = F.array_join(F.transform(F.sequence(F.lit(0), F.floor(F.length(value) / 128)), block), "")
+        return F.concat(head, F.substring(digits, F.lit(1), F.length(value)), quote)
 
-    return let(F.regexp_extract(text, '^[^"]*"', 0), run)
+    return let(F.regexp_extract(text, f"^{_SECRET_NAME}[\"']?", 0), run)
 
 
 def kind_of(match: Column) -> Column:
     """Which of KINDS a match of PATTERN is."""
     return (
-        F.when(match.contains('"'), "secret")
+        F.when(match.rlike(f"^{_SECRET_NAME}"), "secret")
         .when(match.contains("@"), "mail")
         .when(match.rlike(r"^([0-9]{1,3}\.){3}[0-9]{1,3}$"), "host")
-        .when(match.startswith("+"), "phone")
+        .when(match.rlike(r"^[+(]|^[0-9]{3}-[0-9]{3}-[0-9]{4}$"), "phone")
         .when(match.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "social")
         .when(match.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})$"), "date")
         .otherwise("card")

@@ -1,3 +1,4 @@
+import random
 import re
 from datetime import date, timedelta
 from hashlib import sha256
@@ -147,3 +148,50 @@ def test_numbers_beside_cards_and_phones(spark):
         for value, n in new.items():
             want = want.replace(f"<{value[::-1]}>", n)
         assert got[text].text == want
+
+
+def test_forms_of_phones(spark):
+    """One number in many forms keeps its form and gets the same digits."""
+    forms = ["+1 (415) 555-0123", "+14155550123", "+1-415-5550123", "+1 415 5550123", "+1.415.555.0123", "(415) 555-0123"]
+    forms += ["415-555-0123", "(415)555.0123"]
+    got = each(spark, [f"call {f}, now" for f in forms])
+    want = plain_digits("4155550123", "phone+1")
+    for form, row in zip(forms, got.values(), strict=True):
+        assert re.sub(r"\d", "0", row.text) == re.sub(r"\d", "0", f"call {form}, now")
+        assert re.sub(r"\D", "", row.text)[-10:] == want, form
+    (other,) = each(spark, ["+442079460018"]).values()
+    assert other.text == "+44" + plain_digits("2079460018", "phone+44")
+
+
+def test_forms_of_secrets(spark):
+    long_value = "k3" * 300
+    forms = ["password=hunter2abc", "api_key: 'a1b2c3d4e5'", '{"token": "abcdefgh12"}', "SECRET = \"not-a-digit\"", "see access_token=zz9988776655."]
+    forms += [f'token = "{long_value}"']
+    values = ["hunter2abc", "a1b2c3d4e5", "abcdefgh12", "not-a-digit", "zz9988776655", long_value]
+    got = each(spark, forms)
+    for form, value, row in zip(forms, values, got.values(), strict=True):
+        before, after = form.split(value)
+        assert row.text.startswith(before) and row.text.endswith(after) and value not in row.text
+        assert re.fullmatch(f"[0-9a-f]{{{len(value)}}}", row.text[len(before) : len(row.text) - len(after)])
+    clean = ["the password: remember it", "token ring", "secret: everything", "api key = short", 'name = "value value"', "password = ''"]
+    assert [r.text for r in each(spark, clean).values()] == clean
+
+
+def test_tables_of_numbers_stay(spark):
+    """In a long run only single numbers and usual layouts of known issuers are cards."""
+    chooser = random.Random(3)
+    numbers = " ".join(str(chooser.randint(10, 9999)) for _ in range(20_000))
+    row = one(spark, numbers)
+    changed = [f.old for f in row.found if f.kind == "card" and f.old != f.new]
+    assert all(re.fullmatch(r"\d{4}( \d{4}){3}( \d{3})?|\d{4} \d{6} \d{4,5}", c) and c[0] in "23456" for c in changed)
+    small = " ".join(str(chooser.randint(10, 999)) for _ in range(20_000))
+    assert one(spark, small).text == small
+
+
+def test_long_texts_that_look_like_mail(spark):
+    """No pattern needs a deeper stack for a longer text."""
+    texts = ["x@" + "a." * 2000 + "com", "x@" + "a." * 500_000 + "com", "a." * 500_000 + "@x.com", "a" * 1_000_000]
+    texts += ["+" + "1 " * 300_000, "1.2." * 200_000, "token=" + "a" * 1_000_000, "4" * 1_000_000, "x@y." * 200_000]
+    got = each(spark, texts)
+    assert [len(r.text) > 0 for r in got.values()] == [True] * len(texts)
+    assert one(spark, "x@" + "a." * 100 + "com").text.endswith("@mail.invalid")
