@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playstream.llm.common import bytes_of, remainder_of_id, small_batches
+from playstream.llm.samples import one_per_id
 
 #: Bytes that the network reads in one piece, in either direction; a text is cut into such pieces, none left out.
 PIECE = 64
@@ -185,15 +186,12 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, pieces_each: int = TRAIN_PIEC
             columns = [batch.column("doc_id"), batch.column("label"), pa.array(spread, pa.list_(pa.binary()))]
             yield pa.record_batch(columns, names=["doc_id", "label", "pieces"])
 
-    usable = docs.where(F.col("lang").isNotNull() & (remainder_of_id(FOLDS) != HELD_OUT))
-    chosen = (
-        usable.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-        .agg(F.min("lang").alias("label"))
-        .orderBy(F.xxhash64("doc_id", F.lit(13)), "doc_id")
-        .limit(rows)
+    usable = docs.where(F.col("lang").isNotNull() & (remainder_of_id(FOLDS) != HELD_OUT)).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").alias("label")
     )
-    # at most ``rows`` ids, so the broadcast has a fixed bound
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    chosen = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(13)), "doc_id").limit(rows)
+    # at most ``rows`` ids, so the broadcast has a fixed bound; rows of an id that have no language are not learned
+    sample = one_per_id(usable.join(F.broadcast(chosen), "doc_id"), "text", "label")
     got = sample.mapInArrow(run, "doc_id long, label string, pieces array<binary>").collect()
     examples = sorted((r.label, bytes(p)) for r in got for p in r.pieces)
     if not examples:
