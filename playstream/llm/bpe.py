@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from playstream.llm.common import bytes_of, small_batches
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
-#: Pre-tokens, and space-led stretches, whose ids a worker keeps between batches; beyond it they are worked out again.
-KEPT = 200_000
+#: Bytes of pre-tokens, and of space-led stretches, that a worker keeps with their ids; beyond it they are worked out
+#: again. An entry counts as its characters and ids and what Python adds to them.
+KEPT, _ENTRY = 48 << 20, 200
 
 
 class PerfectHash:
@@ -90,6 +91,20 @@ class PerfectHash:
         return [int(self.value_at[s]) if self.key_at[s] == k else -1 for s, k in zip(slots, keys, strict=True)]
 
 
+class Kept(dict[str, bytes]):
+    """Packed ids by text, and about how many bytes all this takes."""
+
+    size = 0
+
+    def put(self, text: str, ids: bytes) -> None:
+        self[text] = ids
+        self.size += len(text) + len(ids) + _ENTRY
+
+    def forget(self) -> None:
+        self.clear()
+        self.size = 0
+
+
 class Codec:
     """Ids of texts and bytes of ids under one rank file."""
 
@@ -103,9 +118,9 @@ class Codec:
         self.split = regex.compile(pattern).findall
         # Under the public pattern a match ends before each space, unless white space lies on both sides of it.
         self.at_spaces = pattern == public_tokenizers.PATTERN
-        self.crossing = regex.compile(r"\s \s").search
-        self.kept: dict[str, bytes] = {}
-        self.stretches: dict[str, bytes] = {}
+        self.crossing = regex.compile(r"\s \s|\s \Z").search
+        self.kept = Kept()
+        self.stretches = Kept()
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a pre-token: neighbours of lowest rank are merged first, the leftmost of equals."""
@@ -149,7 +164,7 @@ class Codec:
         keys = [t.encode() for t in texts]
         for text, key, at in zip(texts, keys, self.whole.find(keys), strict=True):
             ids = [self.ranks[self.tokens[at]]] if at >= 0 else self.merge(key)
-            self.kept[text] = np.array(ids, "<u4").tobytes()
+            self.kept.put(text, np.array(ids, "<u4").tobytes())
 
     def _packed(self, pieces: list[str]) -> bytes:
         unseen = set(pieces).difference(self.kept)
@@ -164,13 +179,14 @@ class Codec:
         if unseen:
             self.learn(unseen)
         of = self.kept.__getitem__
-        self.stretches.update((s, b"".join(map(of, pieces))) for s, pieces in split.items())
+        for stretch, pieces in split.items():
+            self.stretches.put(stretch, b"".join(map(of, pieces)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text; none for a null."""
         for kept in (self.kept, self.stretches):
-            if len(kept) > KEPT:
-                kept.clear()
+            if kept.size > KEPT:
+                kept.forget()
         packed: list[bytes] = []
         parted: dict[int, list[str]] = {}
         unseen: set[str] = set()
