@@ -49,15 +49,17 @@ def fingerprint(text: bytes | None, words_in_shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp)`` for each row of ``docs``."""
+    """``(doc_id, text_hash, fp)`` for each row of ``docs``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             found = [fingerprint(t) for t in bytes_of(batch.column("text"))]
             values = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.record_batch([batch.column("doc_id"), values], names=["doc_id", "fp"])
+            columns = [batch.column("doc_id"), batch.column("text_hash"), values]
+            yield pa.record_batch(columns, names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return wanted.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def close_pairs(
@@ -186,13 +188,8 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     return grouped.mapInArrow(lambda batches: _links(batches, radius), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fingerprint, component_id)``, one row for each row of ``docs``.
-
-    Null and empty texts have no word and the fingerprint zero, which links like any other. Equal rows share a
-    fingerprint and so a component. A row without ``doc_id`` links too but names no component; its
-    component_id is null if no linked row has an id. Other columns are not read. An empty table gives no rows.
-    """
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text_hash, fp, root, component_id)`` for each row; ``root`` is a fingerprint of the group."""
     fps = settled(fingerprints(docs), "fingerprints")
     least = fps.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
     roots = settled(components(links(fps)), "components")
@@ -200,17 +197,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "fp", "doc_id", F.coalesce("root", "fp").alias("root")
     )
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_fp = named.join(smallest, "root").select("fp", "component_id")
-    return fps.join(of_fp, "fp").select(
+    return fps.join(named.join(smallest, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``(doc_id, fingerprint, component_id)``, one row for each row of ``docs``.
+
+    Null and empty texts have no word and the fingerprint zero, which links like any other. Equal rows share a
+    fingerprint and so a component. A row without ``doc_id`` links too but names no component; its
+    component_id is null if no linked row has an id. Other columns are not read. An empty table gives no rows.
+    """
+    return _grouped(docs).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def first_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest, all columns kept.
+    """The row of each group that has the group's smallest id, all columns kept.
 
-    Rows repeated under one id stay once. Rows without an id cannot be named as copies and stay.
+    Rows repeated under one id stay once; where an id has several texts in one group, the one with the least hash
+    stays. Rows without an id cannot be named as copies and stay.
     """
-    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").cast("long")).distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    firsts = _grouped(docs).where("doc_id = component_id").groupBy("root")
+    kept = firsts.agg(F.min(F.struct("doc_id", "text_hash")).alias("_first")).select("_first").distinct()
+    named = docs.where("doc_id is not null").withColumn(
+        "_first", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    )
+    one = named.join(kept, "_first", "left_semi").dropDuplicates(["_first"]).drop("_first")
     return one.unionByName(docs.where("doc_id is null"))
