@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playstream.llm import bpe, gam, mixing, near_copies, pii
+from playstream.llm import bpe, gam, mixing, pii, simhash
 from playstream.llm.common import DOCUMENT_COLUMNS, settled, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,8 +18,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) the document with the smallest id stays."""
-    return near_copies.first_of_each_group(docs).select(*DOCUMENT_COLUMNS)
+    """Of each group whose fingerprints hang together the document with the smallest id stays."""
+    return simhash.first_of_each_group(docs).select(*DOCUMENT_COLUMNS)
 
 
 def pseudonymized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
