@@ -91,17 +91,20 @@ class PerfectHash:
         return [int(self.value_at[s]) if self.key_at[s] == k else -1 for s, k in zip(slots, keys, strict=True)]
 
 
-class Kept(dict[str, bytes]):
-    """Packed ids by text, and about how many bytes all this takes."""
+class Kept:
+    """Packed ids by text, and about how many bytes all this takes. ``ids`` is a plain dict: sets are compared with no
+    other mapping without going through all of it."""
 
-    size = 0
+    def __init__(self) -> None:
+        self.ids: dict[str, bytes] = {}
+        self.size = 0
 
-    def put(self, text: str, ids: bytes) -> None:
-        self[text] = ids
-        self.size += len(text) + len(ids) + _ENTRY
+    def add(self, found: dict[str, bytes]) -> None:
+        self.ids.update(found)
+        self.size += sum(map(len, found)) + sum(map(len, found.values())) + _ENTRY * len(found)
 
     def forget(self) -> None:
-        self.clear()
+        self.ids.clear()
         self.size = 0
 
 
@@ -162,25 +165,26 @@ class Codec:
         """Keep the ids of ``pieces``, packed as little-endian 32-bit integers."""
         texts = list(pieces)
         keys = [t.encode() for t in texts]
+        found = {}
         for text, key, at in zip(texts, keys, self.whole.find(keys), strict=True):
             ids = [self.ranks[self.tokens[at]]] if at >= 0 else self.merge(key)
-            self.kept.put(text, np.array(ids, "<u4").tobytes())
+            found[text] = np.array(ids, "<u4").tobytes()
+        self.kept.add(found)
 
     def _packed(self, pieces: list[str]) -> bytes:
-        unseen = set(pieces).difference(self.kept)
+        unseen = set(pieces).difference(self.kept.ids)
         if unseen:
             self.learn(unseen)
-        return b"".join(map(self.kept.__getitem__, pieces))
+        return b"".join(map(self.kept.ids.__getitem__, pieces))
 
     def _learn_stretches(self, stretches: set[str]) -> None:
         """Keep the ids of each stretch with the space before it."""
         split = {s: self.split(" " + s) for s in stretches}
-        unseen = {p for pieces in split.values() for p in pieces}.difference(self.kept)
+        unseen = {p for pieces in split.values() for p in pieces}.difference(self.kept.ids)
         if unseen:
             self.learn(unseen)
-        of = self.kept.__getitem__
-        for stretch, pieces in split.items():
-            self.stretches.put(stretch, b"".join(map(of, pieces)))
+        of = self.kept.ids.__getitem__
+        self.stretches.add({s: b"".join(map(of, pieces)) for s, pieces in split.items()})
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text; none for a null."""
@@ -199,9 +203,9 @@ class Codec:
                 unseen.update(parted[at])
             else:
                 packed.append(self._packed(self.split(text)))
-        unseen.difference_update(self.stretches)
+        unseen.difference_update([s for s in unseen if s in self.stretches.ids])
         self._learn_stretches(unseen)
-        of = self.stretches.__getitem__
+        of = self.stretches.ids.__getitem__
         for at, stretches in parted.items():
             packed[at] += b"".join(map(of, stretches))
         return packed
