@@ -21,7 +21,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 _INT, _LONG, _TEXT = T.IntegerType(), T.LongType(), T.StringType()
 _BOOL, _REAL, _DATE = T.BooleanType(), T.DoubleType(), T.DateType()
-_WALL = T.TimestampNTZType()
+_WALL, _BYTES = T.TimestampNTZType(), T.BinaryType()
 
 
 @dataclass(frozen=True)
@@ -188,9 +188,42 @@ HOURLY_METRICS = Table(
     partition_date="time_window",
 )
 
+# What adds up over windows: sums in place of rates, sketches and bitmaps in place of distinct counts.
+HOURLY_SUMS = Table(
+    "hourly_sums",
+    _struct(
+        ("time_window", _WALL), ("stream_count", _LONG), ("total_listen_time", _LONG), ("timed_count", _LONG),
+        ("skipped", _LONG), ("liked", _LONG),
+    ),
+    primary_key=("time_window",),
+    partition_date="time_window",
+)
+LOCATION_SKETCHES = Table(
+    "location_sketches",
+    _struct(
+        ("time_window", _WALL), ("location_id", _INT), ("stream_count", _LONG), ("users", _BYTES), ("songs", _BYTES),
+    ),
+    primary_key=("time_window", "location_id"),
+    references=(_TO_LOCATION,),
+    partition_date="time_window",
+)
+USER_BITMAPS = Table(
+    "user_bitmaps",
+    _struct(("time_window", _WALL), ("bucket", _LONG), ("users", _BYTES)),
+    primary_key=("time_window", "bucket"),
+    partition_date="time_window",
+)
+USER_SESSIONS = Table(
+    "user_sessions",
+    _struct(("session_start", _WALL), ("user_id", _INT), ("session_end", _WALL), ("plays", _LONG)),
+    primary_key=("session_start", "user_id"),
+    partition_date="session_start",
+)
+
 DIMENSIONS = (USERS, ARTISTS, ALBUMS, SONGS, DEVICES, LOCATIONS)
 METRIC_TABLES = (USER_ENGAGEMENT, CONTENT_PERFORMANCE, DEVICE_METRICS, LOCATION_METRICS, HOURLY_METRICS)
-TABLES = {t.name: t for t in (*DIMENSIONS, STREAM_EVENTS, *METRIC_TABLES)}
+ADDITIVE_TABLES = (HOURLY_SUMS, LOCATION_SKETCHES, USER_BITMAPS)
+TABLES = {t.name: t for t in (*DIMENSIONS, STREAM_EVENTS, *METRIC_TABLES, *ADDITIVE_TABLES, USER_SESSIONS)}
 
 
 def load_order(tables=DIMENSIONS) -> list[Table]:

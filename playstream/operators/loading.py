@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playstream.model import DIMENSIONS, Table, load_order
@@ -68,10 +69,18 @@ def load_table(
     try:
         sizes = None if broken is None else broken_sizes(broken)
         checked = with_reasons(fresh, table, broken, sizes)
-        seen = Observation(f"load_{table.name}_{batch}")
-        store.write(valid(checked).observe(seen, F.count(F.lit(1)).alias("loaded")), table, batch, run)
-        store.write_dead_letters(to_dead_letters(invalid(checked), table.name, batch, at), table.name, batch, run)
-        return LoadResult(table.name, seen.get["loaded"])
+        rejected = invalid(checked)
+        n_fresh, n_rejected = fresh.count(), rejected.count()
+        loaded = n_fresh - n_rejected
+        if loaded:
+            store.write(valid(checked), table, batch, run, loaded)
+        else:
+            store.withdraw(spark, table, batch, run)
+        if n_rejected:
+            store.write_dead_letters(to_dead_letters(rejected, table.name, batch, at), table.name, batch, run)
+        else:
+            store.withdraw_dead_letters(spark, table.name, batch, run)
+        return LoadResult(table.name, loaded)
     finally:
         fresh.unpersist()
         if broken is not None:
@@ -89,7 +98,16 @@ def load_dimensions(
     at: datetime,
     order: str = "offset",
 ) -> list[LoadResult]:
-    """Every dimension, parents first. A failure stops the load; run it again
-    with the same batch number."""
+    """Every dimension, parents first; tables that wait for no other are loaded at the same time. A failure stops the
+    load; run it again with the same batch number."""
     read = changelogs if callable(changelogs) else changelogs.__getitem__
-    return [load_table(read(t.name), t, store, batch, at, order) for t in load_order()]
+    waiting, results = load_order(), {}
+    with ThreadPoolExecutor(max_workers=len(waiting)) as workers:
+        while waiting:
+            names = {t.name for t in waiting}
+            ready = [t for t in waiting if not any(r.parent in names for r in t.references)]
+            messages = [read(t.name) for t in ready]
+            loads = workers.map(lambda m, t: load_table(m, t, store, batch, at, order), messages, ready)
+            results |= {r.table: r for r in loads}
+            waiting = [t for t in waiting if t not in ready]
+    return [results[t.name] for t in load_order()]

@@ -36,19 +36,37 @@ def listening_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     )
 
 
-def _microseconds(span: str) -> str:
-    """Whole microseconds of a day-time interval, without a time zone."""
+def session_stream(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
+    """The same rows from a stream with a watermark, each once no later event can lengthen its session.
+
+    State holds one row per open session; an event that joins two of them makes them one.
+    """
+    silence = F.session_window("timestamp", f"{gap_minutes} minutes").alias("span")
     return (
-        f"extract(DAY FROM {span}) * 86400000000L + extract(HOUR FROM {span}) * 3600000000L"
-        f" + extract(MINUTE FROM {span}) * 60000000L + CAST(extract(SECOND FROM {span}) * 1000000 AS BIGINT)"
+        events.where(F.col("user_id").isNotNull())
+        .groupBy(silence, "user_id")
+        .agg(F.max("timestamp").alias("session_end"), row_count().alias("plays"))
+        .select(F.col("span.start").alias("session_start"), "user_id", "session_end", "plays")
     )
 
 
-def session_duration_by_user(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
+def session_lengths(sessions: DataFrame) -> DataFrame:
+    """Number and mean length of each user's sessions."""
     lasted = _microseconds("(session_end - session_start)")
     return (
-        listening_sessions(events, gap_minutes)
-        .groupBy("user_id")
+        sessions.groupBy("user_id")
         .agg(row_count().alias("sessions"), F.expr(f"sum({lasted})").alias("micros"))
         .select("user_id", "sessions", F.expr("micros / sessions / 1000000").alias("avg_session_seconds"))
     )
+
+
+def _microseconds(span: str) -> str:
+    """Whole microseconds of a day-time interval, without a time zone."""
+    return (
+        f"extract(DAY FROM {span}) * 86400000000L + extract(HOUR FROM {span}) * 3600000000L"
+        f" + extract(MINUTE FROM {span}) * 60000000L + CAST(extract(SECOND FROM {span}) * 1000000 AS BIGINT)"
+    )
+
+
+def session_duration_by_user(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
+    return session_lengths(listening_sessions(events, gap_minutes))

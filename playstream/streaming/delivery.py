@@ -97,6 +97,8 @@ class Delivery:
             letters = to_dead_letters(rejected, table.name, batch, self.clock())
             if not rejected.isEmpty():
                 self._letters.write_dead_letters(letters, table.name, batch, run)
+            elif hasattr(self._letters, "withdraw_dead_letters"):
+                self._letters.withdraw_dead_letters(rows.sparkSession, table.name, batch, run)
         finally:
             if broken is not None:
                 broken.unpersist()
@@ -115,10 +117,8 @@ class Delivery:
             self._letters.write_dead_letters(letters, f"{table.name}_unstored", batch, run)
 
     def _not_stored_yet(self, rows: DataFrame, batch: int, table: Table, run: str) -> DataFrame:
-        """Rows whose key no other batch has stored; only folders of the batch's own dates are opened."""
+        """Rows whose key no other batch has stored. Keys are read only of writes that hold times of the batch and
+        whose key filter has one of its keys."""
         span = period(rows, table.partition_date)
-        if span is None:
-            return rows
-        dates = [at.date() for at in span]
-        stored = self.store.stored_keys(rows.sparkSession, table, *dates, batch, run)
-        return unseen_rows(rows, stored, table)
+        stored = None if span is None else self.store.stored_keys(rows, table, *span, batch, run)
+        return rows if stored is None else unseen_rows(rows, stored, table)

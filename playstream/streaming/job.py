@@ -6,13 +6,17 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from playstream.model import METRIC_TABLES, STREAM_EVENTS, TABLES
+from playstream.model import METRIC_TABLES, STREAM_EVENTS, TABLES, USER_SESSIONS
 from playstream.operators.parsing import CORRUPT, parse_events, readable
+from playstream.operators.sessions import session_stream
+from playstream.plans.additive import ADDITIVE, additive
 from playstream.plans.metrics import windowed
-from playstream.streaming.delivery import Delivery
+from playstream.sinks.store import FileStore
+from playstream.streaming.delivery import Delivery, run_of
 
 LATENESS = "2 minutes"
 RAW = STREAM_EVENTS.name
@@ -43,9 +47,48 @@ def metric_stream(events: DataFrame, table: str, lateness: str = LATENESS) -> Da
 
     Distinct counts are sketches here: their state is bounded per window.
     """
+    if table == USER_SESSIONS.name:
+        return session_stream(with_lateness(events, lateness))
+    if table in ADDITIVE:
+        return additive(with_lateness(events, lateness), table)
     return windowed(with_lateness(events, lateness), table, exact_distinct=False)
 
 
+def without_repeats(parsed: DataFrame, within: str) -> DataFrame:
+    """Events whose id came in the last ``within`` already are left out, whatever batch they came in.
+
+    The time that counts is that of arrival, so no event is late here. Rows without an id, such as corrupt ones, all
+    stay. State is bounded by the events of ``within``.
+    """
+    own = F.when(F.col("event_id").isNull(), F.uuid()).otherwise(F.col("event_id"))
+    arrived = parsed.withColumn("_arrived", F.current_timestamp()).withColumn("_own", own)
+    return arrived.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(["_own"]).drop("_arrived", "_own")
+
+
+def start_sums(
+    parsed: DataFrame,
+    table: str,
+    store: FileStore,
+    checkpoints: str,
+    schedule: Schedule = Schedule(),
+) -> StreamingQuery:
+    """Store what each batch adds to the windows of an additive table, without a watermark.
+
+    No event comes too late: it corrects its window by one more row. A batch that is run again replaces its rows.
+    """
+
+    def add(rows: DataFrame, batch: int) -> None:
+        store.write(additive(rows, table), TABLES[table], batch, run_of(rows.sparkSession))
+
+    writer = (
+        readable(parsed)
+        .writeStream.queryName(f"{table}-added")
+        .foreachBatch(add)
+        .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{table}-added")
+    )
+    return schedule.apply(writer).start()
+
+
 def start(
     rows: DataFrame, table: str, delivery: Delivery, checkpoints: str, schedule: Schedule = Schedule()
 ) -> StreamingQuery:
@@ -98,9 +141,10 @@ def start_all(
     schedule: Schedule = Schedule(),
     lateness: str = LATENESS,
     tables: Iterable[str] = (RAW, *(t.name for t in METRIC_TABLES)),
+    repeats_within: str | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start the raw copy and the metrics over one message source."""
-    return start_parsed(parse_events(messages), delivery, checkpoints, schedule, lateness, tables)
+    return start_parsed(parse_events(messages), delivery, checkpoints, schedule, lateness, tables, repeats_within)
 
 
 def start_parsed(
@@ -110,15 +154,18 @@ def start_parsed(
     schedule: Schedule = Schedule(),
     lateness: str = LATENESS,
     tables: Iterable[str] = (RAW, *(t.name for t in METRIC_TABLES)),
+    repeats_within: str | None = None,
 ) -> dict[str, StreamingQuery]:
     """The same over parsed events, such as landed ones.
 
-    Raw rows have no watermark: late ones are stored and corrupt ones become dead
-    letters. Metrics take readable rows only.
+    Raw rows have no watermark of their time: late ones are stored and corrupt ones become dead
+    letters. Metrics take readable rows only. With ``repeats_within`` the raw copy drops events that
+    a producer sends again within that time before they are compared with the store.
     """
     running = {}
+    raw = without_repeats(parsed, repeats_within) if repeats_within else parsed
     for table in tables:
-        rows = parsed if table == RAW else metric_stream(readable(parsed), table, lateness)
+        rows = raw if table == RAW else metric_stream(readable(parsed), table, lateness)
         running[table] = start(rows, table, delivery, checkpoints, schedule)
     return running
 
