@@ -412,6 +412,55 @@ PIPELINE = {
         AND NOT ({' OR '.join(_is_broken(k, d) for k, d in REFERENCES if d not in ('devices', 'locations'))})""",
 }
 
+# Streams that take events with a user only: Spark filters before it looks at the times.
+CLOSED_BY_USERS = CLOSED_BY.replace("FROM stream_events", "FROM stream_events WHERE user_id IS NOT NULL")
+
+
+def _events_closed(by: str) -> str:
+    return f"""
+        SELECT * FROM stream_events
+        WHERE time_bucket(INTERVAL 1 MINUTE, "timestamp") + INTERVAL 1 MINUTE <= {by}"""
+
+
+def _daily_users(events: str) -> str:
+    return f"""
+        SELECT CAST("timestamp" AS DATE) AS day, count(DISTINCT user_id) AS unique_users
+        FROM ({events}) AS e WHERE user_id IS NOT NULL GROUP BY ALL"""
+
+
+def _region_days(events: str) -> str:
+    """Sketches have to lie within their error."""
+    return f"""
+        SELECT CAST("timestamp" AS DATE) AS day, region, count(*) AS stream_count,
+               true AS unique_users_within_error, true AS unique_songs_within_error
+        FROM ({events}) AS e JOIN locations USING (location_id) GROUP BY ALL"""
+
+
+ADDITIVE = {
+    "daily_unique_users": _daily_users("FROM stream_events"),
+    "stream_daily_unique_users": _daily_users(_events_closed(CLOSED_BY_USERS)),
+    "region_day_uniques": _region_days("FROM stream_events"),
+    "stream_region_day_uniques": _region_days(_events_closed(CLOSED_BY)),
+    "stream_corrected_hours": "SELECT * EXCLUDE (unique_users, unique_songs, unique_artists) FROM hourly_metrics",
+    "stream_retried_events": f"FROM stream_events WHERE NOT ({ANY_BROKEN})",
+    "plays_around_skips": """
+        SELECT skip.event_id AS skip_id, skip.user_id, count(*) AS plays
+        FROM stream_events AS skip JOIN stream_events AS play ON play.user_id = skip.user_id
+         AND play."timestamp" >= skip."timestamp" - INTERVAL 17 MINUTE
+         AND play."timestamp" < skip."timestamp" + INTERVAL 43 MINUTE
+        WHERE skip.is_skipped GROUP BY ALL""",
+}
+# The dimensions of the second run.
+REPLAYED = {
+    "users": f"""
+        SELECT * FROM ({TABLES["users"]}) AS u WHERE user_id NOT IN (
+            SELECT user_id FROM ({TABLES["stream_events"]}) AS e
+            WHERE user_id IS NOT NULL AND "timestamp" < TIMESTAMP '2024-01-03 00:00:00')""",
+    "devices": f"""
+        SELECT device_id FROM ({TABLES["devices"]}) AS d
+        UNION SELECT device_id FROM ({TABLES["stream_events"]}) AS e""",
+}
+
 FURTHER = {
     "session_duration_by_user": """
         SELECT user_id, count(*) AS sessions,
@@ -517,6 +566,18 @@ def oracle_sql() -> dict[str, str]:
     for stored, computed in STORED.items():
         found[stored] = found[computed]
     found["stream_late_rows"] = _query(PIPELINE["stream_hourly_measures"], stream_events=IN_TIME)
+    found |= {name: _query(body) for name, body in ADDITIVE.items()}
+    found["replayed_batch"] = _query(
+        f"""SELECT event_id, "timestamp", CASE WHEN {ANY_BROKEN} THEN 'dead letter' ELSE 'stored' END AS place
+        FROM stream_events""",
+        **REPLAYED,
+    )
+    found["stream_sessions"] = _query(
+        FURTHER["session_duration_by_user"].replace(
+            "GROUP BY user_id, nth) AS runs",
+            f"GROUP BY user_id, nth) AS runs WHERE ended + INTERVAL 30 MINUTE <= {CLOSED_BY_USERS}",
+        )
+    )
     for name in ("dead_letter_rows", "stream_dead_letters"):
         found[name] = _query(LETTERS, invalid_rows=INVALID)
     return found

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from playstream import model
 from playstream.functions import timeparts
-from playstream.operators import changelog, deadletter, integrity, loading, parsing, sessions
-from playstream.plans import business, dashboard, further, metrics, quality
+from playstream.operators import changelog, deadletter, integrity, loading, parsing, ranges, sessions
+from playstream.plans import additive, business, dashboard, further, metrics, quality
 from playstream.session import run_folder, streaming_session
 from playstream.sinks.store import FileStore, settled
 from playstream.sources.star import StarSchema
@@ -142,32 +142,29 @@ named("recent_engagement")(
 )
 
 
-# The same over metric tables that were stored once, as a running system reads them.
-_STORES: dict[tuple[str, str], FileStore] = {}
-
-
-def _stored(s: StarSchema) -> FileStore:
-    at = s.spark.sparkContext.applicationId, s.folder
-    if at not in _STORES:
-        store = FileStore(run_folder(s.spark, "metrics"))
-        for table in model.METRIC_TABLES:
-            store.write(metrics.windowed(s.stream_events, table.name), table, 0)
-        _STORES[at] = store
-    return _STORES[at]
+# The same over metric tables that are stored first, as a running system reads them.
+def _stored(s: StarSchema, *tables: model.Table) -> FileStore:
+    store = FileStore(run_folder(s.spark, "metrics"))
+    for table in tables:
+        store.write(metrics.windowed(s.stream_events, table.name), table, 0)
+    return store
 
 
 def _stored_since(s: StarSchema, table: model.Table, back: timedelta = dashboard.HOUR) -> DataFrame:
-    return _stored(s).read(s.spark, table, since=AS_OF - back)
+    return _stored(s, table).read(s.spark, table, since=AS_OF - back)
 
 
 @named("stored_table_counts")
 def _(s):
     tables = {t.name: s.table(t.name) for t in (*model.DIMENSIONS, model.STREAM_EVENTS)}
-    return quality.table_counts(tables | {t.name: _stored(s).read(s.spark, t) for t in model.METRIC_TABLES})
+    store = _stored(s, *model.METRIC_TABLES)
+    return quality.table_counts(tables | {t.name: store.read(s.spark, t) for t in model.METRIC_TABLES})
 
 
 named("stored_metrics_reconciliation")(
-    lambda s: quality.metrics_reconciliation(_stored(s).read(s.spark, model.USER_ENGAGEMENT), s.stream_events)
+    lambda s: quality.metrics_reconciliation(
+        _stored(s, model.USER_ENGAGEMENT).read(s.spark, model.USER_ENGAGEMENT), s.stream_events
+    )
 )
 named("stored_active_users")(lambda s: dashboard.active_users(_stored_since(s, model.USER_ENGAGEMENT)))
 named("stored_streams_by_country")(
@@ -185,6 +182,60 @@ named("stored_recent_engagement")(
 )
 
 
+# Windows that add up, stored by the minute and read by the day.
+def _stored_additive(s: StarSchema, table: model.Table) -> DataFrame:
+    store = FileStore(run_folder(s.spark, table.name))
+    store.write(additive.additive(s.stream_events, table.name), table, 0)
+    return store.read(s.spark, table)
+
+
+def _within_error(found: DataFrame, exact: DataFrame, keys: list[str], deviation: float) -> DataFrame:
+    """``found`` with, in place of each sketched count, whether it lies within three deviations (or, for small counts,
+    three values that share a register) of the exact count."""
+    sketches = [c for c in found.columns if c.startswith("unique_")]
+    exact = exact.select(*keys, *[F.col(c).alias(f"exact_{c}") for c in sketches])
+    within = [
+        (F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.greatest(F.lit(3.0), 3 * deviation * F.col(f"exact_{c}")))
+        .alias(f"{c}_within_error")
+        for c in sketches
+    ]
+    return found.join(exact, keys).select(*[c for c in found.columns if c not in sketches], *within)
+
+
+# Relative deviation of a sketch of 4,096 registers.
+UNION_DEVIATION = 0.0163
+
+
+def _region_days(s: StarSchema, sketches: DataFrame, events: DataFrame) -> DataFrame:
+    exact = (
+        events.join(s.locations, "location_id")
+        .groupBy(F.to_date("timestamp").alias("day"), "region")
+        .agg(F.count_distinct("user_id").alias("unique_users"), F.count_distinct("song_id").alias("unique_songs"))
+    )
+    found = additive.region_day_uniques(sketches, s.locations)
+    return _within_error(found, exact, ["day", "region"], UNION_DEVIATION)
+
+
+named("daily_unique_users")(lambda s: additive.users_by_day(_stored_additive(s, model.USER_BITMAPS)))
+named("region_day_uniques")(
+    lambda s: _region_days(s, _stored_additive(s, model.LOCATION_SKETCHES), s.stream_events)
+)
+
+
+@named("plays_around_skips")
+def _(s):
+    """Plays of the same user from 17 minutes before each skipped play to 43 minutes after it."""
+    skips = s.stream_events.where("is_skipped AND user_id IS NOT NULL").select(
+        "user_id",
+        F.col("event_id").alias("skip_id"),
+        F.expr("timestamp - INTERVAL '17' MINUTE").alias("begin"),
+        F.expr("timestamp + INTERVAL '43' MINUTE").alias("end"),
+    )
+    plays = s.stream_events.where("user_id IS NOT NULL").select("user_id", "event_id", "timestamp")
+    met = ranges.range_join(plays, skips, ["user_id"], "timestamp", "begin", "end")
+    return met.groupBy("skip_id", "user_id").agg(F.count(F.lit(1)).alias("plays"))
+
+
 # Further reports.
 named("session_duration_by_user")(lambda s: sessions.session_duration_by_user(s.stream_events))
 named("top_artists")(lambda s: further.top_artists(s.stream_events, s.artists))
@@ -391,18 +442,9 @@ SKETCH_DEVIATION = 0.05
 
 
 def _against_exact(s: StarSchema, table: str) -> DataFrame:
-    """Stored windows; in place of each sketch, whether it lies within three deviations (or, for small counts, three
-    values that share a register) of the exact count."""
     stored = _streamed(s, table).read(s.spark, model.TABLES[table])
     keys = ["time_window", *metrics.METRICS[table].keys]
-    sketches = [c for c in stored.columns if c.startswith("unique_")]
-    exact = metrics.windowed(s.stream_events, table).select(*keys, *[F.col(c).alias(f"exact_{c}") for c in sketches])
-    within = [
-        (F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.greatest(F.lit(3.0), 3 * SKETCH_DEVIATION * F.col(f"exact_{c}")))
-        .alias(f"{c}_within_error")
-        for c in sketches
-    ]
-    return stored.join(exact, keys).select(*[c for c in stored.columns if c not in sketches], *within)
+    return _within_error(stored, metrics.windowed(s.stream_events, table), keys, SKETCH_DEVIATION)
 
 
 for _name, _table in STREAMS.items():
@@ -422,26 +464,112 @@ BATCH_STARTS = ("2024-01-08", "2024-01-15", "2024-01-22")
 FILES_PER_BATCH = 4
 
 
-@named("stream_late_rows")
-def _(s):
-    """Hours of a stream over four batches, whose state lasts from one to the next; what comes too late is dropped."""
-    folder = run_folder(s.spark, "late-rows")
+def _landed(s: StarSchema, folder: str, parts: list[DataFrame]) -> DataFrame:
+    """A stream that takes one part of the parsed events with each batch."""
+    for part in parts:  # one after the other: a stream takes older files first
+        part.repartition(FILES_PER_BATCH).write.mode("append").parquet(f"{folder}/landing")
+    return job.landed_events(_stream_session(s), f"{folder}/landing", files_per_batch=FILES_PER_BATCH)
+
+
+def _parts(s: StarSchema, late: str | None = None) -> list[DataFrame]:
+    """The parsed events by the days of four batches; those for which ``late`` holds come with the third."""
     bounds = [F.lit(day).cast("timestamp_ntz") for day in BATCH_STARTS]
-    nth = F.when(F.expr(LATE), 2)
+    nth = F.when(F.expr(late or "false"), 2)
     for at, bound in enumerate(bounds):
         nth = nth.when(F.col("timestamp") < bound, at)
     parsed = parsing.parse_events(_event_messages(s)).withColumn("_batch", nth.otherwise(len(bounds)))
-    for at in range(len(bounds) + 1):  # one after the other: a stream takes older files first
-        part = parsed.where(F.col("_batch") == at).drop("_batch").repartition(FILES_PER_BATCH)
-        part.write.mode("append").parquet(f"{folder}/landing")
+    return [parsed.where(F.col("_batch") == at).drop("_batch") for at in range(len(bounds) + 1)]
+
+
+def _in_batches(s: StarSchema, table: model.Table, parts: list[DataFrame], **settings) -> FileStore:
+    """``table`` out of a stream over several batches, whose state lasts from one to the next."""
+    folder = run_folder(s.spark, f"batches-{table.name}")
     store = FileStore(f"{folder}/tables")
-    landed = job.landed_events(_stream_session(s), f"{folder}/landing", files_per_batch=FILES_PER_BATCH)
     started = job.start_parsed(
-        landed, _delivery(s, store), f"{folder}/checkpoints", job.Schedule(drain=True), tables=["hourly_metrics"]
-    )
+        _landed(s, folder, parts), _delivery(s, store), f"{folder}/checkpoints", job.Schedule(drain=True),
+        tables=[table.name], **settings,
+    )
     job.await_all(started.values())
+    return store
+
+
+@named("stream_late_rows")
+def _(s):
+    """Hours of a stream over four batches; what comes too late is dropped."""
+    store = _in_batches(s, model.HOURLY_METRICS, _parts(s, LATE))
     return store.read(s.spark, model.HOURLY_METRICS).drop("unique_users", "unique_songs", "unique_artists")
 
+
+@named("stream_corrected_hours")
+def _(s):
+    """The same late events, where each batch adds to the sums of its hours: none is lost."""
+    folder = run_folder(s.spark, "corrected-hours")
+    store = FileStore(f"{folder}/tables")
+    landed = _landed(s, folder, _parts(s, LATE))
+    job.start_sums(landed, "hourly_sums", store, f"{folder}/checkpoints", job.Schedule(drain=True)).awaitTermination()
+    return additive.hourly_rates(store.read(s.spark, model.HOURLY_SUMS))
+
+
+@named("stream_sessions")
+def _(s):
+    """Sessions that a stream over four batches has closed."""
+    store = _in_batches(s, model.USER_SESSIONS, _parts(s))
+    return sessions.session_lengths(store.read(s.spark, model.USER_SESSIONS))
+
+
+@named("stream_retried_events")
+def _(s):
+    """Every third event is sent again with the next batch; state and store keep it once."""
+    parts = _parts(s)
+    again = [p.where("CAST(substr(event_id, 4) AS BIGINT) % 3 = 0") for p in parts[:-1]]
+    sent = [parts[0], *[p.unionByName(a) for p, a in zip(parts[1:], again, strict=True)]]
+    store = _in_batches(s, model.STREAM_EVENTS, sent, repeats_within="1 hour")
+    return store.read(s.spark, model.STREAM_EVENTS)
+
+
+def _closed_events(s: StarSchema) -> DataFrame:
+    """Events of the minutes that the supplied stream closes."""
+    last = s.stream_events.agg(F.max("timestamp")).first()[0]
+    until = last.replace(microsecond=last.microsecond // 1000 * 1000) - timedelta(minutes=2)
+    minute = timeparts.window_start("timestamp", "1 minute")
+    return s.stream_events.where(minute + F.expr("INTERVAL '1' MINUTE") <= timeparts.moment(until))
+
+
+named("stream_daily_unique_users")(
+    lambda s: additive.users_by_day(_streamed(s, "user_bitmaps").read(s.spark, model.USER_BITMAPS))
+)
+named("stream_region_day_uniques")(
+    lambda s: _region_days(
+        s, _streamed(s, "location_sketches").read(s.spark, model.LOCATION_SKETCHES), _closed_events(s)
+    )
+)
+
+# Users whose first event comes before this day are unknown when the batch is run again.
+KNOWN_FROM = "2024-01-03"
+
+
+@named("replayed_batch")
+def _(s):
+    """One batch of all events, run again after some users have gone and all devices have come: what is stored and what
+    is rejected follows the second run alone."""
+    store, before = FileStore(run_folder(s.spark, "replayed-batch")), s.dimensions()
+    early = s.stream_events.where(F.col("timestamp") < F.lit(KNOWN_FROM).cast("timestamp_ntz")).select("user_id")
+    seen = s.stream_events.select("device_id").where("device_id IS NOT NULL")
+    after = before | {
+        "users": before["users"].join(early, "user_id", "left_anti"),
+        "devices": before["devices"].select("device_id").unionByName(seen).distinct(),
+    }
+    for known in (before, after):
+        Delivery(store, lambda _, known=known: known, clock=lambda: AS_OF).deliver(
+            s.stream_events, 0, model.STREAM_EVENTS
+        )
+    letters = deadletter.read_dead_letters(store.read_dead_letters(s.spark, "stream_events"), model.STREAM_EVENTS)
+    stored = store.read(s.spark, model.STREAM_EVENTS)
+    return stored.select("event_id", "timestamp", F.lit("stored").alias("place")).unionByName(
+        letters.select("event_id", "timestamp", F.lit("dead letter").alias("place"))
+    )
+
+
 named("stream_hourly_measures")(
     lambda s: _streamed(s, "hourly_metrics")
     .read(s.spark, model.HOURLY_METRICS)

@@ -26,3 +26,26 @@ def test_sessions_equal_event_by_event_splitting(star):
         else:
             want.append((user, time, time, 1))
     assert got == sorted(want, key=str)
+
+
+def test_a_stream_closes_the_same_sessions(spark, tmp_path):
+    """Over several batches: a session that grows, one joined by an event between two, silences of exactly the gap."""
+    from playstream.model import STREAM_EVENTS
+    from playstream.operators.sessions import session_stream
+
+    day = "2024-01-01 "
+    batches = [
+        [event(1, time=day + "00:00:00"), event(2, time=day + "00:20:00"), event(3, user=2, time=day + "00:00:00")],
+        [event(4, time=day + "00:50:00"), event(5, time=day + "01:20:00.000001"), event(6, user=2, time=day + "00:40:00")],
+        [event(7, user=2, time=day + "00:25:00"), event(8, user=None, time=day + "01:00:00")],
+        [event(9, user=3, time=day + "09:00:00")],
+    ]
+    for n, batch in enumerate(batches):
+        events(spark, batch).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(STREAM_EVENTS.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    timed = source.withColumn("timestamp", source["timestamp"].cast("timestamp")).withWatermark("timestamp", "3 hours")
+    query = session_stream(timed).writeStream.format("memory").queryName("closed").outputMode("append")
+    query.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    everything = events(spark, [e for b in batches for e in b])
+    want = listening_sessions(everything).where("user_id < 3").select("session_start", "user_id", "session_end", "plays")
+    assert rows(spark.table("closed")) == rows(want.selectExpr("CAST(session_start AS TIMESTAMP)", "user_id", "CAST(session_end AS TIMESTAMP)", "plays"))
