@@ -450,6 +450,27 @@ ADDITIVE = {
          AND play."timestamp" < skip."timestamp" + INTERVAL 43 MINUTE
         WHERE skip.is_skipped GROUP BY ALL""",
 }
+_WRONG = "user_id % 50 = 7 AND CAST(time_window AS DATE) IN (DATE '2024-01-05', DATE '2024-01-17')"
+_LOST = "user_id % 50 = 8 AND CAST(time_window AS DATE) = DATE '2024-01-05'"
+KEPT_CURRENT = {
+    "stream_current_users": """
+        SELECT user_id, device_id, location_id, "timestamp" FROM stream_events WHERE user_id IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY CAST(substr(event_id, 4) AS BIGINT) DESC) = 1
+            AND NOT is_skipped""",
+    "released_rows": PIPELINE["replayed_dead_letters"],
+    "digest_differences": f"""
+        SELECT time_window, user_id,
+               CASE WHEN {_LOST} THEN 0 ELSE stream_count + 1 END AS metrics_stream_count,
+               stream_count AS calculated_stream_count
+        FROM user_engagement_metrics WHERE user_id IS NOT NULL AND (({_WRONG}) OR ({_LOST}))""",
+    "top_artists_from_windows": """
+        SELECT artist_id, count(*) AS stream_count FROM stream_events WHERE artist_id IS NOT NULL
+        GROUP BY artist_id ORDER BY stream_count DESC, artist_id LIMIT 10""",
+    "song_counts_within_bounds": """
+        SELECT time_bucket(INTERVAL 1 DAY, "timestamp") AS time_window, song_id, count(*) AS stream_count,
+               true AS within_bounds
+        FROM stream_events GROUP BY ALL""",
+}
 # The dimensions of the second run.
 REPLAYED = {
     "users": f"""
@@ -566,7 +587,7 @@ def oracle_sql() -> dict[str, str]:
     for stored, computed in STORED.items():
         found[stored] = found[computed]
     found["stream_late_rows"] = _query(PIPELINE["stream_hourly_measures"], stream_events=IN_TIME)
-    found |= {name: _query(body) for name, body in ADDITIVE.items()}
+    found |= {name: _query(body) for name, body in (ADDITIVE | KEPT_CURRENT).items()}
     found["replayed_batch"] = _query(
         f"""SELECT event_id, "timestamp", CASE WHEN {ANY_BROKEN} THEN 'dead letter' ELSE 'stored' END AS place
         FROM stream_events""",

@@ -220,6 +220,13 @@ USER_SESSIONS = Table(
     partition_date="session_start",
 )
 
+# The newest state of a user, kept from a changelog.
+CURRENT_USERS = Table(
+    "current_users",
+    _struct(("user_id", _INT), ("device_id", _INT), ("location_id", _INT), ("timestamp", _WALL)),
+    primary_key=("user_id",),
+)
+
 DIMENSIONS = (USERS, ARTISTS, ALBUMS, SONGS, DEVICES, LOCATIONS)
 METRIC_TABLES = (USER_ENGAGEMENT, CONTENT_PERFORMANCE, DEVICE_METRICS, LOCATION_METRICS, HOURLY_METRICS)
 ADDITIVE_TABLES = (HOURLY_SUMS, LOCATION_SKETCHES, USER_BITMAPS)

@@ -86,6 +86,20 @@ def with_reasons(
     return marked.select(*columns, F.expr(found).alias(REASONS))
 
 
+def awaited(
+    rows: DataFrame, broken: DataFrame, references: Sequence[Reference], sizes: Mapping[str, int]
+) -> DataFrame:
+    """Rows with the first of their broken references, as ``_reference`` and ``_key``; rows without any go. ``sizes``
+    are the counted broken keys, not all zero."""
+    columns, marked = rows.columns, rows
+    lacking = [r for r in references if sizes.get(r.column)]
+    for ref in lacking:
+        marked = _mark(marked, broken, ref)
+    cases = [f"CASE WHEN _broken_{r.column} THEN struct('{r.column}' AS r, CAST({r.column} AS BIGINT) AS k) END" for r in lacking]
+    first = marked.withColumn("_first", F.expr(f"coalesce({', '.join(cases)})")).where("_first IS NOT NULL")
+    return first.select(*columns, F.col("_first.r").alias("_reference"), F.col("_first.k").alias("_key"))
+
+
 def valid(checked: DataFrame) -> DataFrame:
     return checked.where(F.size(REASONS) == 0).drop(REASONS, CORRUPT)
 

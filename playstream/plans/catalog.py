@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from playstream import model
 from playstream.functions import timeparts
 from playstream.operators import changelog, deadletter, integrity, loading, parsing, ranges, sessions
-from playstream.plans import additive, business, dashboard, further, metrics, quality
+from playstream.plans import additive, business, dashboard, digests, frequent, further, metrics, quality
 from playstream.session import run_folder, streaming_session
+from playstream.sinks.keyed import DELETED, ORDER, KeyedTable
 from playstream.sinks.store import FileStore, settled
+from playstream.sinks.waiting import WaitingRows
 from playstream.sources.star import StarSchema
 from playstream.streaming import job
 from playstream.streaming.delivery import Delivery
@@ -578,3 +580,87 @@ named("stream_hourly_measures")(
 named("stream_dead_letters")(
     lambda s: _streamed(s, "stream_events").read_dead_letters(s.spark, "stream_events")
 )
+
+
+@named("stream_current_users")
+def _(s):
+    """Place and device of every user's last play, users whose last play was skipped being deleted. The changes come in
+    four batches that are out of order; the stream ends after two of them and goes on from its checkpoint."""
+    folder = run_folder(s.spark, "current-users")
+    keyed = KeyedTable(FileStore(f"{folder}/tables"), model.CURRENT_USERS)
+    order = F.substring_index("event_id", "-", -1).cast("long")
+    changes = s.stream_events.select(
+        *model.CURRENT_USERS.columns, order.alias(ORDER), F.col("is_skipped").alias(DELETED)
+    )
+    spark = _stream_session(s)
+    for parts in ((2, 0), (3, 1)):
+        for nth in parts:
+            part = changes.where(F.col(ORDER) % 4 == nth).repartition(FILES_PER_BATCH)
+            part.write.mode("append").parquet(f"{folder}/landing")
+        arrived = spark.readStream.schema(keyed.changes.schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+        job.start_changelog(
+            arrived.parquet(f"{folder}/landing"), keyed, f"{folder}/checkpoints", job.Schedule(drain=True), fan_in=2
+        ).awaitTermination()
+    return keyed.read(s.spark)
+
+
+@named("released_rows")
+def _(s):
+    """Rejected events let go by two loads, the missing devices and then the missing locations."""
+    waiting = WaitingRows(
+        FileStore(run_folder(s.spark, "waiting")), model.STREAM_EVENTS, lambda df: settled(df, run_folder(s.spark, "held"))
+    )
+    events, dimensions = s.stream_events, s.dimensions()
+    waiting.file(events, dimensions, 0)
+    released = []
+    for batch, (table, key) in enumerate((("devices", "device_id"), ("locations", "location_id")), 1):
+        seen = events.select(key).distinct().where(F.col(key).isNotNull())
+        new = changelog.new_rows(seen, dimensions[table], key)
+        dimensions[table] = dimensions[table].select(key).unionByName(new)
+        keys = new.select(F.lit(key).alias("reference"), F.col(key).alias("key"))
+        released.append(waiting.release(s.spark, keys, dimensions, batch))
+    return reduce(DataFrame.unionByName, released)
+
+
+# Metric rows that are made wrong, and those that are lost.
+WRONG = "user_id % 50 = 7 AND to_date(time_window) IN (DATE'2024-01-05', DATE'2024-01-17')"
+LOST = "user_id % 50 = 8 AND to_date(time_window) = DATE'2024-01-05'"
+
+
+@named("digest_differences")
+def _(s):
+    """Minutes and users for which stored metrics differ from stored events, found by digests."""
+    store = FileStore(run_folder(s.spark, "digests"))
+    events, metrics_table = model.STREAM_EVENTS, model.USER_ENGAGEMENT
+    raw, counted = digests.DigestTree(store, "events"), digests.DigestTree(store, "engagement")
+    right = metrics.windowed(s.stream_events, metrics_table.name)
+    claimed = right.where(~F.expr(LOST)).withColumn("stream_count", F.expr(f"stream_count + int({WRONG})"))
+    store.write(s.stream_events, events, 0)
+    store.write(claimed, metrics_table, 0)
+    raw.add(digests.of_events(store.read(s.spark, events)), 0)
+    counted.add(digests.of_metrics(store.read(s.spark, metrics_table)), 0)
+    return digests.differences(s.spark, store, events, metrics_table, raw, counted)
+
+
+def _daily_lists(s: StarSchema, key: str, size: int) -> DataFrame:
+    """Lists of days, put together from lists of minutes that are stored first."""
+    minutes = settled(frequent.listed(s.stream_events, key, "1 minute", size), run_folder(s.spark, f"lists-{key}"))
+    return frequent.merged(minutes, "1 day", size)
+
+
+@named("top_artists_from_windows")
+def _(s):
+    lists = _daily_lists(s, "artist_id", frequent.SIZE)
+    return frequent.top(lists).select(F.col("item").alias("artist_id"), F.col("low").alias("stream_count"))
+
+
+@named("song_counts_within_bounds")
+def _(s):
+    """Exact plays of every song and day, and whether they lie in the bounds of that day's short list."""
+    lists = _daily_lists(s, "song_id", 48).withColumnRenamed("item", "song_id")
+    rest = lists.where("place = 1").select("time_window", F.col("rest").alias("unseen"))
+    day = timeparts.window_start("timestamp", "1 day").alias("time_window")
+    exact = s.stream_events.groupBy(day, "song_id").agg(F.count(F.lit(1)).alias("stream_count"))
+    met = exact.join(rest, "time_window").join(lists, ["time_window", "song_id"], "left")
+    low, high = F.coalesce("low", F.lit(0)), F.coalesce("high", "unseen")
+    return met.select("time_window", "song_id", "stream_count", F.col("stream_count").between(low, high).alias("within_bounds"))

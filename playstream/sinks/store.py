@@ -185,10 +185,32 @@ class FileStore:
                 taken.append(commit)
         if len(taken) < fan_in:
             return None
-        rows = self.rows_of(spark, table, taken).select(*table.columns)
+        return self.put_in_place_of(self.rows_of(spark, table, taken).select(*table.columns), table, taken)
+
+    def put_in_place_of(self, rows: DataFrame, table: Table, taken: list[Commit]) -> Commit:
+        """Write ``rows`` as what the ``taken`` writes come to; from its entry on it is read and they are not."""
         replaces = tuple(c.number for c in taken)
         return self._write(rows, table, "merge", replaces[-1], replaces, sum(c.rows for c in taken))
 
+    def write_nested(self, rows: DataFrame, table: Table, nested: tuple[str, ...], batch: int, run: str = DIRECT) -> int:
+        """Store a batch in folders by the ``nested`` columns, which come after those of the table; the number of rows."""
+        spark, folder = rows.sparkSession, f"w{uuid.uuid4().hex}"
+        path = f"{self._path(table.name)}/{FOLDER}={folder}"
+        placed = rows.select(*table.columns, *nested).hint("rebalance", *[F.col(c) for c in nested])
+        placed.write.partitionBy(*nested).parquet(path)
+        count = spark.read.schema(table.schema).parquet(path).count()
+        self._commit(spark, table.name, batch, run, folder, count)
+        return count
+
+    def read_nested(self, spark: SparkSession, table: Table, nested: tuple[str, str]) -> DataFrame:
+        """Rows of ``write_nested``, with the ``nested`` columns: a text and a number. Filters on these skip folders."""
+        fields = [T.StructField(nested[0], T.StringType()), T.StructField(nested[1], T.IntegerType())]
+        layout, base = T.StructType([*table.schema.fields, *fields]), self._path(table.name)
+        paths = [f"{base}/{FOLDER}={c.folder}" for c in self.log(table.name).live(spark) if c.rows]
+        if not paths:
+            return spark.createDataFrame([], layout)
+        return spark.read.schema(layout).option("basePath", base).parquet(*paths)
+
     def withdraw(self, spark: SparkSession, table: Table, batch: int, run: str = DIRECT) -> None:
         """A batch that is run again and has no rows this time."""
         self._commit(spark, table.name, batch, run, "", 0)

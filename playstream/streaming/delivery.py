@@ -9,12 +9,15 @@ from typing import Protocol
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playstream.model import Table
 from playstream.operators.deadletter import to_dead_letters
 from playstream.operators.integrity import broken_keys, broken_sizes, invalid, valid, with_reasons
+from playstream.operators.parsing import CORRUPT
 from playstream.sinks.outlets import period, unseen_rows
 from playstream.sinks.store import DIRECT
+from playstream.sinks.waiting import WaitingRows
 
 
 class RowStore(Protocol):
@@ -49,13 +52,15 @@ class Delivery:
     ``dimensions`` is asked anew for every batch, so rows added to a dimension
     count from the next batch on. ``on_error`` says what happens when the store
     itself fails: ``fail`` stops the query, which retries the batch on restart;
-    ``dead-letter`` keeps the whole batch as dead letters and goes on.
+    ``dead-letter`` keeps the whole batch as dead letters and goes on. ``waiting``
+    also files readable rows by the key they lack, for a later load to release.
     """
 
     store: RowStore
     dimensions: Dimensions | None = None
     letters: LetterBox | None = None
     on_error: str = "fail"
+    waiting: WaitingRows | None = None
     clock: Callable[[], datetime] = field(default=_now)
 
     def __post_init__(self):
@@ -99,10 +104,19 @@ class Delivery:
                 self._letters.write_dead_letters(letters, table.name, batch, run)
             elif hasattr(self._letters, "withdraw_dead_letters"):
                 self._letters.withdraw_dead_letters(rows.sparkSession, table.name, batch, run)
+            if self.waiting and self.waiting.table == table:
+                self._file(rejected, broken, sizes, batch, table, run)
         finally:
             if broken is not None:
                 broken.unpersist()
 
+    def _file(
+        self, rejected: DataFrame, broken: DataFrame | None, sizes: dict[str, int] | None, batch: int, table: Table, run: str
+    ) -> None:
+        readable = rejected.where(F.col(CORRUPT).isNull()) if CORRUPT in rejected.columns else rejected
+        complete = readable.dropna(subset=list(table.required)) if table.required else readable
+        self.waiting.file_lacking(complete, broken, sizes or {}, batch, run)
+
     def _store(self, accepted: DataFrame, batch: int, table: Table, run: str, count: int) -> None:
         """A primary key is stored once: a producer's retry may repeat it inside a batch, or in a later one."""
         unique = accepted.dropDuplicates(list(table.primary_key)) if table.required else accepted

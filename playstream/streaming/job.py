@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,7 @@ from playstream.operators.parsing import CORRUPT, parse_events, readable
 from playstream.operators.sessions import session_stream
 from playstream.plans.additive import ADDITIVE, additive
 from playstream.plans.metrics import windowed
+from playstream.sinks.keyed import KeyedTable
 from playstream.sinks.store import FileStore
 from playstream.streaming.delivery import Delivery, run_of
 
@@ -89,6 +90,33 @@ def start_sums(
     return schedule.apply(writer).start()
 
 
+def start_changelog(
+    changes: DataFrame,
+    keyed: KeyedTable,
+    checkpoints: str,
+    schedule: Schedule = Schedule(),
+    fan_in: int = 4,
+    settled_before: Callable[[SparkSession], int | None] = lambda spark: None,
+) -> StreamingQuery:
+    """Keep a table current from a stream of its changes, in whatever order they come.
+
+    Writes of like size are merged after each batch. ``settled_before`` is asked then for the order before which no
+    change is to come any more; without one, deletes are kept for good.
+    """
+
+    def add(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        keyed.apply(rows, batch, run_of(spark))
+        keyed.compact(spark, fan_in, settled_before(spark))
+
+    writer = (
+        changes.writeStream.queryName(f"{keyed.table.name}-changes")
+        .foreachBatch(add)
+        .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{keyed.table.name}-changes")
+    )
+    return schedule.apply(writer).start()
+
+
 def start(
     rows: DataFrame, table: str, delivery: Delivery, checkpoints: str, schedule: Schedule = Schedule()
 ) -> StreamingQuery:
