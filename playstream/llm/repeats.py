@@ -9,12 +9,15 @@ the bucket of their anchor's hash. What follows works on *stretches*: the runs o
 * Equal stretches are repeated as a whole; one of them is kept for the others to be held against.
 * Different stretches of one bucket are sorted: a two-stage suffix array over their bytes, where equal windows are
   neighbours with a common prefix of ``length`` at least.
-* The different stretches of a bucket that is too large for one task meet window by window, by digests.
+* A bucket of too many different stretches is dealt out by more of their content (``_split``): windows of about the same
+  place relative to the anchor have a longer string in common than the anchor, so equal windows stay together. Its
+  parts are treated in the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +32,10 @@ from playstream.llm.suffixes import joined, repeated
 LENGTH = 200
 #: Length of the strings whose hashes are compared; shorter ones make more buckets hold nothing but chance.
 GRAM = 32
-#: Different stretches of a bucket that are sorted in one place.
-SORTED = 8192
+#: Different stretches of a bucket that are sorted in one place; more are dealt out by more of their content.
+SORTED = 2048
+#: How many neighbouring places of the anchor within a window share a part, step by step. At 1 a part's windows are equal.
+WIDTHS = (43, 11, 3, 1)
 #: Bytes that are sorted, or hashed, together.
 _AT_ONCE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -188,27 +193,62 @@ def _sorted_buckets(cut: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, "key_id long, key_text long, begin int, stop int")
 
 
-def _large_buckets(cut: DataFrame, length: int) -> DataFrame:
-    """The same for buckets of too many stretches: equal windows meet by their digests, copies added up on the way."""
+def _split(cut: DataFrame, width: int, length: int) -> DataFrame:
+    """Stretches cut up by their windows' place relative to the anchor, ``width`` places a part.
+
+    A part's windows all hold the same string of ``length - width + 1`` bytes around the anchor, whose hash, with the
+    number of the part, is the new ``h``. Equal windows have their anchor at the same place, so they meet again.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "bytes", 64 << 10):
             strings = bytes_of(batch.column("bytes"))
-            counts = np.array([len(s) - length + 1 for s in strings])
-            of = np.repeat(np.arange(len(strings)), counts)
-            digests = [xxhash.xxh3_128_digest(s[i : i + length]) for s, n in zip(strings, counts, strict=True) for i in range(n)]
-            place = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
-            keys = [batch.column(c).to_numpy()[of] for c in _KEYS]
-            begin = (batch.column("low").to_numpy()[of] + place).astype(np.int32)
-            copies = batch.column("copies").to_numpy()[of]
-            columns = [*map(pa.array, (*keys, begin, copies)), pa.array(digests, pa.binary())]
-            yield pa.record_batch(columns, names=[*_KEYS, "begin", "copies", "window"])
-
-    schema = "key_id long, key_text long, begin int, copies long, window binary"
-    windows = settled(cut.mapInArrow(run, schema), "windows")
-    often = windows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1")
-    hits = windows.where("copies = 1").join(often, "window")
-    return hits.select(*_KEYS, "begin", (F.col("begin") + length).alias("stop"))
+            of, _, anchors, first, last = stretches(strings, length)
+            low = batch.column("low").to_numpy()
+            owners, begins, stops, h, r, parts = [], [], [], [], [], []
+            for o, p, a, b in zip(of.tolist(), anchors.tolist(), first.tolist(), last.tolist(), strict=True):
+                for part in range((p - b) // width, (p - a) // width + 1):
+                    begin, stop = max(a, p - (part + 1) * width + 1), min(b, p - part * width) + length
+                    shared = strings[o][p - part * width : p - (part + 1) * width + 1 + length]
+                    owners.append(o)
+                    begins.append(int(low[o]) + begin)
+                    stops.append(int(low[o]) + stop - length)
+                    h.append(xxhash.xxh3_64_intdigest(shared, part))
+                    r.append(xxhash.xxh3_64_intdigest(strings[o][begin:stop], p - begin))
+                    parts.append(strings[o][begin:stop])
+            keys = [batch.column(c).to_numpy()[owners] for c in _KEYS]
+            places = [np.array(c, np.int32) for c in (begins, stops)]
+            hashes = [np.array(c, np.uint64).view(np.int64) for c in (h, r)]
+            copies = batch.column("copies").to_numpy()[owners]
+            columns = [*map(pa.array, (*keys, *hashes, *places, copies)), pa.array(parts, pa.binary())]
+            yield pa.record_batch(columns, names=[*_KEYS, "h", "r", "low", "high", "copies", "bytes"])
+
+    schema = "key_id long, key_text long, h long, r long, low int, high int, copies long, bytes binary"
+    return cut.mapInArrow(run, schema)
+
+
+def _dealt_out(cut: DataFrame, length: int, most: int, widths: tuple[int, ...]) -> list[DataFrame]:
+    """Repeated ranges of stretches that occur once, in buckets of more than ``most`` different stretches."""
+    if not widths or cut.isEmpty():
+        return []
+    parts = settled(_split(cut, widths[0], length), "parts")
+    one = F.min(F.struct(*_KEYS, "low", "high")).alias("one")
+    totals = parts.groupBy("h", "r").agg(F.sum("copies").alias("n"), one)
+    kinds = settled(totals, "part-kinds")
+    twice = settled(kinds.where("n > 1").select("h", "r"), "equal-parts")
+    equal = parts.where("copies = 1").join(twice, ["h", "r"], "left_semi")
+    ranges = equal.select(*_KEYS, F.col("low").alias("begin"), (F.col("high") + length).alias("stop"))
+    different = settled(kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1"), "part-sizes")
+    wanted = kinds.join(different, "h").select("h", "r", "kinds", "n", "one.*")
+    left = parts.drop("copies").join(wanted, ["h", "r", *_KEYS, "low", "high"]).dropDuplicates(["h", "r"])
+    return [ranges, *_repeats_within(left.withColumnRenamed("n", "copies").drop("r"), length, most, widths[1:])]
+
+
+def _repeats_within(cut: DataFrame, length: int, most: int, widths: tuple[int, ...]) -> list[DataFrame]:
+    """Repeated ranges among the different stretches of each bucket: sorted, or dealt out first."""
+    cut = settled(cut, "stretch-bytes")
+    found = _sorted_buckets(cut.where(F.col("kinds") <= most).drop("kinds"), length)
+    return [found, *_dealt_out(cut.where(F.col("kinds") > most).drop("kinds"), length, most, widths)]
 
 
 def spans(docs: DataFrame, length: int = LENGTH, sorted_at_once: int = SORTED) -> DataFrame:
@@ -222,16 +262,16 @@ def spans(docs: DataFrame, length: int = LENGTH, sorted_at_once: int = SORTED) -
     kinds = settled(
         candidates.where("mixed").groupBy("h", "r").agg(F.count("*").alias("copies"), one.alias("one")), "stretches"
     )
-    # a stretch that occurs twice is repeated as a whole
-    twice = kinds.where("copies > 1").select("h", "r")
+    # a stretch that occurs twice is repeated as a whole; settled, so that a small list is sent to the candidates
+    # and these are not dealt by a hash that many of them share
+    twice = settled(kinds.where("copies > 1").select("h", "r"), "equal-stretches")
     plain = candidates.where("not mixed").unionByName(candidates.where("mixed").join(twice, ["h", "r"], "left_semi"))
     ranges = plain.select(*_KEYS, F.col("low").alias("begin"), (F.col("high") + length).alias("stop"))
     different = kinds.groupBy("h").agg(F.count("*").alias("kinds"))
     wanted = kinds.select("h", "one.*", "copies").join(different, "h")
-    cut = settled(_texts_of(docs, wanted, length).join(different, "h"), "stretch-bytes")
-    found = _sorted_buckets(cut.where(F.col("kinds") <= sorted_at_once).drop("kinds"), length)
-    crowded = _large_buckets(cut.where(F.col("kinds") > sorted_at_once).drop("kinds"), length)
-    return ranges.unionByName(found).unionByName(crowded)
+    cut = _texts_of(docs, wanted, length).join(different, "h")
+    widths = tuple(w for w in WIDTHS if w <= length - GRAM + 1)
+    return reduce(DataFrame.unionByName, [ranges, *_repeats_within(cut, length, sorted_at_once, widths)])
 
 
 def merged(begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
