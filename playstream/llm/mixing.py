@@ -131,8 +131,14 @@ def _cutoffs(keys: DataFrame, plan: DataFrame) -> DataFrame:
             "mix-ranges",
         )
     low = HASH_BITS - STEP_BITS * PASSES
-    last = keys.join(state, leaf).where(F.shiftright("place", low) == F.col("prefix"))
-    running = F.sum("tokens").over(Window.partitionBy(*leaf).orderBy("place", "id", "tokens"))
+    # Rows equal in place, id and tokens are taken alike, so a place that very many rows share is summed before it is sorted.
+    last = (
+        keys.join(state, leaf)
+        .where(F.shiftright("place", low) == F.col("prefix"))
+        .groupBy(*leaf, "rest", "place", "id", "tokens")
+        .agg(F.sum("tokens").alias("together"))
+    )
+    running = F.sum("together").over(Window.partitionBy(*leaf).orderBy("place", "id", "tokens"))
     reached = (
         last.withColumn("upto", running)
         .where("upto <= rest")

@@ -100,3 +100,14 @@ def test_odd_rows(spark):
 def test_no_python(spark):
     plan = mixing.report(supplied(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_rows_that_share_a_place(spark):
+    """All rows without an id have one place in an epoch: equal ones are taken together or not at all, short ones first."""
+    sizes = [None, "x" * 4, "x" * 8, "x" * 12]
+    docs = spark.createDataFrame([(None, sizes[i % 4], "en", "src1", None) for i in range(2000)], DOCUMENTS)
+    for percent, kept in ((10, {0}), (20, {0, 1}), (60, {0, 1, 2}), (100, {0, 1, 2, 3})):
+        found = mixing.mixed(docs, {}, percent, 1, "s").groupBy("_tokens", "_copies").count().collect()
+        assert {r._tokens for r in found if r._copies == 1} >= kept - {0} and len(found) == 4
+        assert {r["count"] for r in found} == {500}
+        assert sum(r._tokens * r._copies * 500 for r in found) <= 3000 * percent // 100
