@@ -1,8 +1,8 @@
 """Personal data by keyed pseudonyms of the same format, in DataFrame functions only.
 
-Cards, phone numbers, social security numbers, addresses of hosts and dates go through a keyed Feistel permutation within
-their format, so a value always gets the same pseudonym, in any document, and two values never share one. Mail
-addresses and assigned secrets get keyed names of the same shape.
+Cards, bank accounts (IBAN), phone numbers, social security numbers, addresses of hosts and dates go through a keyed
+Feistel permutation within their format, so a value always gets the same pseudonym, in any document, and two values
+never share one. Mail addresses and assigned secrets get keyed names of the same shape.
 """
 
 from __future__ import annotations
@@ -24,6 +24,37 @@ _SECRET = (
     r"""|(?=[A-Za-z_+/.~-]*+[0-9])[A-Za-z0-9][A-Za-z0-9_+/.~-]{6,}[A-Za-z0-9_+/~-])"""
 )
 _HOST = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
+#: IPv6: eight groups, or fewer with one ``::`` after a first group of four that holds a digit, as all global, local and
+#: link addresses have; names of program parts (``std::vector``) have none.
+_HOST6 = (
+    r"(?<![A-Za-z0-9:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?=[A-Fa-f]{0,3}[0-9])[0-9A-Fa-f]{4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)"
+    r"(?![A-Za-z0-9:]|\.[0-9])"
+)
+#: Characters of an IBAN by country. Fixed values.
+_IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27,
+    "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+
+
+def _iban_pattern() -> str:
+    """Country, two check digits and the account, in one piece or in groups of four."""
+    forms = []
+    for length in sorted(set(_IBAN_LENGTHS.values())):
+        countries = "|".join(c for c, n in _IBAN_LENGTHS.items() if n == length)
+        groups, rest = divmod(length - 4, 4)
+        tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        forms.append(f"(?:{countries})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}")
+    return f"(?<![A-Za-z0-9])(?:{'|'.join(forms)})(?![A-Za-z0-9])"
+
+
+_IBAN = _iban_pattern()
 #: Country codes of one and two digits; all others have three. Fixed values.
 _CODE = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 #: Complete, and so not carried on over a space: ten digits after +1, a subscriber number in one piece or with a hyphen,
@@ -58,13 +89,15 @@ _ISSUER = (
 #: Most groups in a usual layout; other ways to group a card's digits count only where the card is the whole run.
 CARD_GROUPS = 5
 _IN_RUN = "|".join((_DATE, _SOCIAL))
-PATTERN = "|".join((_MAIL, _SECRET, _HOST, _PHONE, _NATIONAL, _DATE, _SOCIAL, _CARD))
+PATTERN = "|".join((_MAIL, _SECRET, _IBAN, _HOST6, _HOST, _PHONE, _NATIONAL, _DATE, _SOCIAL, _CARD))
 #: What each of the above holds at least; other texts are passed through without a search.
 HINT = r"""[0-9@]|[=:]\s?["']"""
 
-KINDS = ("mail", "secret", "host", "phone", "date", "social", "card")
-#: Dates are permuted among the days of this Gregorian cycle, whose length is 189 * 773 days.
+KINDS = ("mail", "secret", "iban", "host6", "host", "phone", "date", "social", "card")
+#: Dates are permuted among the days of this Gregorian cycle, whose length is 189 * 773 days, and others among the days of
+#: their own 400 years before or after; of the years that can be written, the whole cycles end with these.
 FIRST_DAY, LAST_DAY, DAY_PARTS = "1800-01-01", "2199-12-31", (189, 773)
+EARLIEST_DAY, LATEST_DAY = "0200-01-01", "9799-12-31"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -98,11 +131,11 @@ def feistel(left: Column, right: Column, left_size: Column, right_size: Column,
 
 
 def _power(n: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(10**k).cast("long") for k in range(12)]), n + 1)
+    return F.element_at(F.array(*[F.lit(10**k).cast("long") for k in range(16)]), n + 1)
 
 
 def permuted_digits(digits: Column, key: str, tweak: Column) -> Column:
-    """Two to twenty digits permuted among all strings of as many."""
+    """Two to thirty digits permuted among all strings of as many."""
 
     def run(d: Column) -> Column:
         u = F.floor(F.length(d) / 2).cast("int")
@@ -229,16 +262,82 @@ def _host(text: Column, key: str) -> Column:
     return let(F.split(text, r"\."), run)
 
 
+def _host6(text: Column, key: str) -> Column:
+    """Eight groups of four digits, however the address is abbreviated. Each half is permuted with the other one as tweak,
+    so the whole is a permutation too."""
+    wide = F.lit(1 << 32)
+
+    def groups(half: Column) -> Column:
+        return F.filter(F.split(half, ":"), lambda g: g != "")
+
+    def all_groups(halves: Column) -> Column:
+        head, tail = groups(halves[0]), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
+        return F.concat(head, F.array_repeat(F.lit("0"), F.lit(8) - F.size(head) - F.size(tail)), tail)
+
+    def words(g: Column) -> Column:
+        number = lambda k: F.conv(F.element_at(g, k), 16, 10).cast("long")
+        return F.array(*[F.shiftleft(number(k), 16) + number(k + 1) for k in (1, 3, 5, 7)])
+
+    def permuted(w: Column) -> Column:
+        first = feistel(w[0], w[1], wide, wide, key, F.concat_ws("/", F.lit("host6"), w[2], w[3]))
+        second = lambda m: feistel(w[2], w[3], wide, wide, key, F.concat_ws("/", F.lit("host6"), m["l"], m["r"]))
+        return let(first, lambda m: let(second(m), lambda n: F.array(m["l"], m["r"], n["l"], n["r"])))
+
+    def written(w: Column) -> Column:
+        digits = F.transform(w, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0"))
+        return F.array_join(
+            F.transform(digits, lambda d: F.concat(F.substring(d, 1, 4), F.lit(":"), F.substring(d, 5, 4))), ":"
+        )
+
+    def run(g: Column) -> Column:
+        valid = (F.size(g) == 8) & text.rlike("[0-9]")
+        return F.when(valid, let(let(words(g), permuted), written)).otherwise(text)
+
+    return let(let(F.split(text, "::"), all_groups), run)
+
+
+def _left_of_97(text: Column) -> Column:
+    """What 97 leaves of the number that ``text`` is, with letters as 10 to 35."""
+
+    def step(rest: Column, char: Column) -> Column:
+        worth = F.when(char.rlike("[0-9]"), F.ascii(char) - 48).otherwise(F.ascii(char) - 55)
+        return (rest * F.when(worth < 10, 10).otherwise(100) + worth) % 97
+
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
+def _iban(text: Column, key: str) -> Column:
+    """An account that has passed the check by 97: its digits are permuted and the check digits follow. The country
+    stays, as do letters, which name the bank."""
+
+    def run(compact: Column) -> Column:
+        country, check = F.substring(compact, 1, 2), F.substring(compact, 3, 2)
+        account = F.substring(compact, F.lit(5), F.length(compact))
+        digits = permuted_digits(_digits(account), key, F.concat(F.lit("iban/"), country))
+
+        def checked(new: Column) -> Column:
+            bare = F.concat(_into_places(account, new), country, F.lit("00"))
+            return _into_places(text, F.concat(F.lpad((98 - _left_of_97(bare)).cast("string"), 2, "0"), new))
+
+        passes = (_left_of_97(F.concat(account, country, check)) == 1) & check.between("02", "98")
+        return F.when(passes & (F.length(_digits(account)) > 1), let(digits, checked)).otherwise(text)
+
+    return let(F.replace(text, F.lit(" "), F.lit("")), run)
+
+
 def _date(text: Column, key: str) -> Column:
-    """Real days of the cycle only; the way the date is written stays."""
+    """Real days only, within their 400 years; the way the date is written stays."""
     a, b = DAY_PARTS
 
     def written(form: str) -> Column:
         def run(day: Column) -> Column:
-            at = F.date_diff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
-            mixed = feistel(F.floor(at / b), at % b, F.lit(a).cast("long"), F.lit(b).cast("long"), key, F.lit("date"))
-            moved = let(mixed, lambda m: F.date_add(F.lit(FIRST_DAY).cast("date"), (m["l"] * b + m["r"]).cast("int")))
-            known = day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date"))
+            since = F.date_diff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
+            cycle, at = F.floor(since / (a * b)), F.pmod(since, F.lit(a * b))
+            tweak = F.when(cycle == 0, "date").otherwise(F.concat(F.lit("date/"), cycle.cast("string")))
+            mixed = feistel(F.floor(at / b), at % b, F.lit(a).cast("long"), F.lit(b).cast("long"), key, tweak)
+            to = lambda m: (cycle * (a * b) + m["l"] * b + m["r"]).cast("int")
+            moved = let(mixed, lambda m: F.date_add(F.lit(FIRST_DAY).cast("date"), to(m)))
+            known = day.between(F.lit(EARLIEST_DAY).cast("date"), F.lit(LATEST_DAY).cast("date"))
             return F.when(known, F.date_format(moved, form)).otherwise(text)
 
         return let(F.try_to_timestamp(text, F.lit(form)).cast("date"), run)
@@ -274,6 +373,8 @@ def kind_of(match: Column) -> Column:
     return (
         F.when(match.rlike(f"^{_SECRET_NAME}"), "secret")
         .when(match.contains("@"), "mail")
+        .when(match.contains(":"), "host6")
+        .when(match.rlike("^[A-Z]{2}"), "iban")
         .when(match.rlike(r"^([0-9]{1,3}\.){3}[0-9]{1,3}$"), "host")
         .when(match.rlike(r"^[+(]|^[0-9]{3}-[0-9]{3}-[0-9]{4}$"), "phone")
         .when(match.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "social")
@@ -288,6 +389,8 @@ def pseudonym(match: Column, key: str) -> Column:
     forms = {
         "mail": _mail,
         "secret": _secret,
+        "iban": _iban,
+        "host6": _host6,
         "host": _host,
         "phone": _phone,
         "date": _date,

@@ -1,3 +1,4 @@
+import ipaddress
 import random
 import re
 from datetime import date, timedelta
@@ -51,7 +52,7 @@ def test_cards_are_permuted_and_stay_valid(spark):
 
 
 def test_numbers_that_fail_their_check_stay(spark):
-    text = "4111111111111112 300.1.1.1 2023-02-29 31.02.2020 13/45/2020 000-12-3456 1.2.3.4.5 +1 (2) 3 12345 1799-12-31 2200-01-01"
+    text = "4111111111111112 300.1.1.1 2023-02-29 31.02.2020 13/45/2020 000-12-3456 1.2.3.4.5 +1 (2) 3 12345 0199-12-31 9800-01-01"
     assert one(spark, text).text == text
 
 
@@ -195,3 +196,65 @@ def test_long_texts_that_look_like_mail(spark):
     got = each(spark, texts)
     assert [len(r.text) > 0 for r in got.values()] == [True] * len(texts)
     assert one(spark, "x@" + "a." * 100 + "com").text.endswith("@mail.invalid")
+
+
+def test_dates_outside_the_cycle_stay_within_their_own(spark):
+    a, b = pii.DAY_PARTS
+    days = [date(1799, 12, 31), date(1600, 2, 29), date(2200, 1, 1), date(2600, 1, 1), date(200, 1, 1), date(9799, 12, 31)]
+    got = each(spark, [d.isoformat() for d in days])
+    for day in days:
+        cycle, at = divmod((day - date(1800, 1, 1)).days, a * b)
+        left, right = plain_feistel(at // b, at % b, a, b, f"date/{cycle}")
+        assert got[day.isoformat()].text == (date(1800, 1, 1) + timedelta(cycle * a * b + left * b + right)).isoformat()
+
+
+def left_of_97(compact):
+    return int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97
+
+
+IBANS = ["DE89370400440532013000", "GB29NWBK60161331926819", "FR1420041010050500013M02606", "NO9386011117947", "BE68539007547034"]
+IBANS += ["MT84MALT011000012345MTLCAST001S", "CH9300762011623852957"]
+
+
+def test_accounts_stay_valid_and_linked(spark):
+    spaced = [" ".join(re.findall(".{1,4}", v)) for v in IBANS]
+    texts = [f"to {v}, now" for v in IBANS] + [f"{v} PAID 20 EUR" for v in spaced]
+    got = [r.text for r in each(spark, texts).values()]
+    for value, plain, grouped in zip(IBANS, got[: len(IBANS)], got[len(IBANS) :], strict=True):
+        new = re.fullmatch("to ([A-Z0-9]+), now", plain).group(1)
+        assert new != value and len(new) == len(value) and left_of_97(value) == left_of_97(new) == 1
+        digits = lambda v: re.sub("[^0-9]", "", v[4:])
+        assert digits(new) == plain_digits(digits(value), f"iban/{value[:2]}")
+        assert [c for c in new if c.isalpha()] == [c for c in value if c.isalpha()]
+        assert grouped == " ".join(re.findall(".{1,4}", new)) + " PAID 20 EUR"
+
+
+def test_what_only_looks_like_an_account_stays(spark):
+    texts = [v[:2] + f"{(int(v[2:4]) + 1) % 97:02d}" + v[4:] for v in IBANS]
+    texts += ["XX89370400440532013000", "DE8937040044053201300", "xDE89370400440532013000", "NO93 words of a text", "DE89"]
+    assert [r.text for r in each(spark, texts).values()] == texts
+
+
+def plain_host6(address):
+    w = [int.from_bytes(address.packed[k : k + 4]) for k in range(0, 16, 4)]
+    a, b = plain_feistel(w[0], w[1], 1 << 32, 1 << 32, f"host6/{w[2]}/{w[3]}")
+    c, d = plain_feistel(w[2], w[3], 1 << 32, 1 << 32, f"host6/{a}/{b}")
+    return ipaddress.IPv6Address((a << 96) + (b << 64) + (c << 32) + d).exploded
+
+
+def test_wide_hosts_in_all_spellings(spark):
+    forms = ["2001:db8::1", "2001:DB8:0:0:0:0:0:1", "2001:0db8:0000:0000:0000:0000:0000:0001", "fe80::", "2001:db8:1::ab9:c0a8:102"]
+    forms += ["fd12:3456:789a:1::1"]
+    got = each(spark, [f"from [{f}]:80." for f in forms])
+    for form, row in zip(forms, got.values(), strict=True):
+        assert row.text == f"from [{plain_host6(ipaddress.IPv6Address(form))}]:80."
+    assert len({r.text for r in got.values()}) == len(forms) - 2
+    clean = ["std::vector", "d3d::Face", "12:34:56", "00:1a:2b:3c:4d:5e", "a::b", "1:2:3", "abcd:abcd:abcd:abcd:abcd:abcd:abcd:abcd x 1"]
+    clean += ["2001:1:2:3:4:5:6:7::8:9", "at 10::20", "x2001:db8::1"]
+    assert [r.text for r in each(spark, clean).values()] == clean
+
+
+def test_long_texts_that_look_like_hosts_and_accounts(spark):
+    texts = ["1:" * 500_000, "2001:" * 200_000, "DE89 3704 " * 100_000, "DE89" * 250_000, "a1b2::" * 100_000]
+    got = each(spark, texts)
+    assert [got[t].text == t for t in texts] == [True] * len(texts)
