@@ -31,7 +31,7 @@ def folder(spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize("broadcast", ["10m", "-1"])
-@pytest.mark.parametrize("table", ["hourly_metrics"])
+@pytest.mark.parametrize("table", ["hourly_metrics", "user_engagement_metrics"])
 def test_a_task_joins_a_bounded_number_of_lines(spark, folder, monkeypatch, broadcast, table):
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
