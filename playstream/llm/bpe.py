@@ -1,4 +1,5 @@
-"""Byte-level BPE: whole pre-tokens by a minimal perfect hash, the rest by a heap over linked bytes."""
+"""Byte-level BPE: whole pre-tokens by a minimal perfect hash, the short rest of a batch side by side, the long one by a heap
+over linked bytes."""
 
 from __future__ import annotations
 
@@ -7,6 +8,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
+from itertools import batched, pairwise
 
 import numpy as np
 import public_tokenizers
@@ -22,6 +24,9 @@ RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of pre-tokens, and of space-led stretches, that a worker keeps with their ids; beyond it they are worked out
 #: again. An entry counts as its characters and ids and what Python adds to them.
 KEPT, _ENTRY = 48 << 20, 200
+#: Pre-tokens of up to so many bytes are merged side by side, if there are so many of them: a round of this takes as long
+#: as some merges by the heap, and there are as many rounds as the longest has merges. Memory follows how many go at once.
+SHORT, MANY, AT_ONCE = 64, 32, 1 << 14
 
 
 class PerfectHash:
@@ -117,6 +122,7 @@ class Codec:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.token_of = dict(zip(self.ranks.values(), self.ranks, strict=True))
         self.tokens = list(self.ranks)
+        self.packed = [np.array([rank], "<u4").tobytes() for rank in self.ranks.values()]
         self.whole = PerfectHash(self.tokens)
         self.split = regex.compile(pattern).findall
         # Under the public pattern a match ends before each space, unless white space lies on both sides of it.
@@ -124,6 +130,62 @@ class Codec:
         self.crossing = regex.compile(r"\s \s|\s \Z").search
         self.kept = Kept()
         self.stretches = Kept()
+        self.none = max(self.ranks.values(), default=0) + 1
+        self.of_byte = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)])
+        # Without every byte, or with a rank that comes twice, a pair of ids does not stand for its bytes.
+        self.paired = bool((self.of_byte >= 0).all()) and len(self.token_of) == len(self.ranks)
+        self.pairs, self.pair_ranks = self._pairs()
+
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each two ids whose bytes make up a token, as one number, ascending; and the ranks of these tokens."""
+        get, found = self.ranks.get, [(np.iinfo(np.int64).max, self.none)]
+        for token, rank in self.ranks.items() if self.paired else ():
+            for cut in range(1, len(token)):
+                left = get(token[:cut])
+                if left is not None and (right := get(token[cut:])) is not None:
+                    found.append((left * self.none + right, rank))
+        keys, ranks = np.array(sorted(found), np.int64).T
+        return np.ascontiguousarray(keys), np.ascontiguousarray(ranks)
+
+    def _wanted(self, ids: np.ndarray, owner: np.ndarray, where: np.ndarray) -> np.ndarray:
+        """Rank of the merge of the parts at ``where`` with the next of the same piece."""
+        ranks = np.full(len(where), self.none)
+        inner = np.flatnonzero(owner[where] == owner[np.minimum(where + 1, len(owner) - 1)])
+        inner = inner[where[inner] + 1 < len(owner)]
+        keys = ids[where[inner]] * self.none + ids[where[inner] + 1]
+        at = np.searchsorted(self.pairs, keys)
+        ranks[inner] = np.where(self.pairs[at] == keys, self.pair_ranks[at], self.none)
+        return ranks
+
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each of some pre-tokens, none of them empty, as ``merge`` finds them. In each round every
+        piece merges its pair of lowest rank, the leftmost of equals, and those without one are done."""
+        owner = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+        ids = self.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        wanted = self._wanted(ids, owner, np.arange(len(ids)))
+        done = []
+        while len(ids):
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            lowest = np.minimum.reduceat(wanted, first)
+            lowest = np.repeat(lowest, np.diff(first, append=len(ids)))
+            going = lowest != self.none
+            if not going.all():
+                done.append((ids[~going], owner[~going]))
+                ids, owner, wanted, lowest = ids[going], owner[going], wanted[going], lowest[going]
+            at = np.flatnonzero(wanted == lowest)
+            at = at[np.diff(owner[at], prepend=-1) != 0]
+            ids[at] = wanted[at]
+            stay = np.ones(len(ids), bool)
+            stay[at + 1] = False
+            ids, owner, wanted = ids[stay], owner[stay], wanted[stay]
+            at -= np.arange(len(at))  # one part has gone from each piece before
+            changed = np.concatenate([at, at[at > 0] - 1])
+            wanted[changed] = self._wanted(ids, owner, changed)
+        ids, owner = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(owner, kind="stable")
+        packed = ids[order].astype("<u4").tobytes()
+        ends = 4 * np.cumsum(np.bincount(owner, minlength=len(pieces)))
+        return [packed[a:b] for a, b in pairwise([0, *ends.tolist()])]
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a pre-token: neighbours of lowest rank are merged first, the leftmost of equals."""
@@ -165,10 +227,19 @@ class Codec:
         """Keep the ids of ``pieces``, packed as little-endian 32-bit integers."""
         texts = list(pieces)
         keys = [t.encode() for t in texts]
-        found = {}
+        found, rest = {}, []
         for text, key, at in zip(texts, keys, self.whole.find(keys), strict=True):
-            ids = [self.ranks[self.tokens[at]]] if at >= 0 else self.merge(key)
-            found[text] = np.array(ids, "<u4").tobytes()
+            if at >= 0:
+                found[text] = self.packed[at]
+            elif self.paired and len(key) <= SHORT:
+                rest.append((text, key))
+            else:
+                found[text] = np.array(self.merge(key), "<u4").tobytes()
+        for some in batched(rest, AT_ONCE):
+            if len(some) < MANY:
+                found.update((text, np.array(self.merge(key), "<u4").tobytes()) for text, key in some)
+            else:
+                found.update(zip([text for text, _ in some], self.merge_all([key for _, key in some]), strict=True))
         self.kept.add(found)
 
     def _packed(self, pieces: list[str]) -> bytes:
@@ -179,7 +250,8 @@ class Codec:
 
     def _learn_stretches(self, stretches: set[str]) -> None:
         """Keep the ids of each stretch with the space before it."""
-        split = {s: self.split(" " + s) for s in stretches}
+        # ASCII letters are one match after a space; of others, Python and the pattern may know different ones.
+        split = {s: [" " + s] if s.isascii() and s.isalpha() else self.split(" " + s) for s in stretches}
         unseen = {p for pieces in split.values() for p in pieces}.difference(self.kept.ids)
         if unseen:
             self.learn(unseen)

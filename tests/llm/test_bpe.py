@@ -85,3 +85,33 @@ def test_the_two_ways_of_encoding_and_decoding_agree(spark):
     arrays = {(r.doc_id, r.n_tokens, r.ids_sha256) for r in bpe.tokenized(docs).collect()}
     assert arrays == {(r.doc_id, r.n_tokens, r.ids_sha256) for r in bpe.round_trip(docs).collect()}
     assert all(len(r.ids) == r.n_tokens for r in bpe.tokenized(docs).collect())
+
+
+def test_pieces_merged_side_by_side(codec):
+    draw = np.random.default_rng(3)
+    parts = ["a", "e", "th", "ing", " ", "x1", "é", "漢", "#", "aaaa", "tion", "0", "\n", "😀"]
+    texts = ["a", "é", "aa", "a" * 64, *{"".join(draw.choice(parts, n)) for n in draw.integers(1, 17, 3000)}]
+    pieces = [t.encode() for t in texts]
+    expected = [np.array(codec.merge(p), "<u4").tobytes() for p in pieces]
+    assert codec.merge_all(pieces) == expected
+    assert codec.merge_all(pieces[:1]) == expected[:1]
+    assert all(codec.decode(found) == p for found, p in zip(expected, pieces, strict=True))
+
+
+def test_new_words_of_a_batch_take_no_heap(monkeypatch, library):
+    codec = bpe.Codec(public_tokenizers.path(bpe.RANK_FILE), public_tokenizers.PATTERN)
+    text = "one " + " ".join(f"qz{i:x}vkw" for i in range(500))
+    taken = []
+    monkeypatch.setattr(codec, "merge", lambda piece, merge=codec.merge: taken.append(piece) or merge(piece))
+    assert ids(codec.encode([text])[0]) == library.encode_ordinary(text)
+    assert len(taken) < 10
+
+
+def test_ranks_without_every_byte_are_merged_by_the_heap(tmp_path):
+    lines = [(b"a", 0), (b"b", 1), (b"ab", 2)]
+    (tmp_path / "ranks").write_text("".join(f"{base64.b64encode(t).decode()} {r}\n" for t, r in lines))
+    codec = bpe.Codec(str(tmp_path / "ranks"), r"b+a*|a+b*")
+    words = ["a" * i + "b" * j for i in range(1, 9) for j in range(1, 9)]
+    assert not codec.paired
+    for word, packed in zip(words, codec.encode(words), strict=True):
+        assert ids(packed) == codec.merge(word.encode()) and codec.decode(packed) == word.encode()
